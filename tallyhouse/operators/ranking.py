@@ -21,6 +21,20 @@ def top_per_group(df: DataFrame, groups: Sequence[str], order: Sequence[Column])
     )
 
 
+def most_frequent(df: DataFrame, groups: Sequence[str], value: str, name: str) -> DataFrame:
+    """The most frequent non-NULL value per group; ties go to the smallest.
+
+    Values are counted first, so a group reaches the second step as one row per
+    distinct value, however many rows it has.
+    """
+    counted = (
+        df.filter(F.col(value).isNotNull())
+        .groupBy(*groups, F.col(value).alias(name))
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    return top_per_group(counted, groups, [F.desc("_n"), F.asc(name)]).drop("_n")
+
+
 def top_rows(df: DataFrame, order: Sequence[Column], limit: int) -> DataFrame:
     """The first ``limit`` rows of the whole table (a top-k report)."""
     return df.orderBy(*order).limit(limit)

@@ -45,7 +45,7 @@ class Warehouse:
         self.last_day = last_day
         self.snapshot_time = snapshot_time
         self.tables = TableFolder(spark, f"{folder}/tables")
-        self._work = TableFolder(spark, f"{folder}/work")
+        self.work = TableFolder(spark, f"{folder}/work")
 
     def stage(self, name: str) -> DataFrame:
         """A staged raw table, not materialised."""
@@ -59,7 +59,7 @@ class Warehouse:
         return self.tables.read(name)
 
     def _header(self) -> DataFrame:
-        if not self._work.exists("order_header"):
+        if not self.work.exists("order_header"):
             header = facts.order_header(
                 self.stage("orders"),
                 self["dim_customers"],
@@ -68,12 +68,12 @@ class Warehouse:
                 self.first_day,
                 self.last_day,
             )
-            self._work.write("order_header", header)
-        return self._work.read("order_header")
+            self.work.write("order_header", header)
+        return self.work.read("order_header")
 
     def plan(self, name: str) -> DataFrame:
         """The rows of one table, before they are written."""
-        stage, slices = self.stage, self._work
+        stage, slices = self.stage, self.work
         plans: dict[str, Callable[[], DataFrame]] = {
             "dim_date": lambda: dims.dim_date(self.spark, self.first_day, self.last_day),
             "dim_geography": lambda: dims.dim_geography(stage("geolocation"), slices),
@@ -123,7 +123,7 @@ class Warehouse:
             return BuildReport(True, ())
         log = []
         if not if_missing:
-            self._work = TableFolder(self.spark, f"{self._work.path}-{time.time_ns()}")
+            self.work = TableFolder(self.spark, f"{self.work.path}-{time.time_ns()}")
         for name in schemas.WAREHOUSE_TABLES:
             if if_missing and self.tables.exists(name):
                 continue
