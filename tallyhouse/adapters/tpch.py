@@ -232,8 +232,15 @@ TABLES = {
 }
 
 
+_GIVEN: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def given_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A given table; its footer is read once per application."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _GIVEN:
+        _GIVEN[key] = spark.read.parquet(f"{folder}/{name}.parquet")
+    return _GIVEN[key]
 
 
 def sources(spark: SparkSession, folder: str) -> dict[str, Callable[[], DataFrame]]:

@@ -52,30 +52,47 @@ def share_of_group(df: DataFrame, value: str, groups: Sequence[str], name: str)
 class Slices:
     """Rows cut into ordered slices, and what lies before each slice.
 
-    ``rows`` has a ``_slice`` column. ``before`` has one row per slice:
-    ``_rows_before``, ``_rows_total`` and, when a value was named,
-    ``_value_before`` and ``_value_total``.
+    ``rows`` has ``_slice`` and ``_place`` (0-based, inside the slice).
+    ``before`` has one row per slice: ``_rows_before``, ``_rows_total`` and,
+    when a value was named, ``_value_before`` and ``_value_total``.
     """
 
     rows: DataFrame
     before: DataFrame
 
 
+# monotonically_increasing_id holds the partition above the row's place in it.
+_PLACE_BITS = 33
+
+
 def ordered_slices(
-    df: DataFrame, order: Sequence[str | Column], folder: TableFolder, name: str, value: str | None = None
+    df: DataFrame,
+    order: Sequence[Column],
+    folder: TableFolder,
+    name: str,
+    value: str | None = None,
 ) -> Slices:
     """Range-partition by ``order``, write the slices, and sum up what precedes.
 
     A window without PARTITION BY would sort the whole table in one task. Here
-    every slice is sorted on its own, and only one row per slice (at most the
-    number of shuffle partitions) goes through a single task. The slices are
-    written before they are counted: a second range partitioning would sample
-    anew and might cut elsewhere. The written table also survives a lost
-    executor. ``order`` must be unique per row, so that no slice can be hot.
+    every task sorts its own slice and notes each row's place, and only one row
+    per slice (at most the number of shuffle partitions) goes through a single
+    task. The slices are written before they are counted: a second range
+    partitioning would sample anew and might cut elsewhere, and a written table
+    survives a lost executor. ``order`` must be unique per row, so that no
+    slice can be hot.
     """
     slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = df.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id())
-    rows = folder.write(name, cut)
+    cut = (
+        df.repartitionByRange(slices, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("_id", F.monotonically_increasing_id())
+    )
+    rows = folder.write(name, cut).select(
+        *[F.col(c) for c in df.columns],
+        F.shiftright("_id", _PLACE_BITS).alias("_slice"),
+        F.col("_id").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias("_place"),
+    )
     sums = [F.count(F.lit(1)).alias("_n")]
     if value:
         sums.append(F.sum(value).alias("_v"))
@@ -91,7 +108,7 @@ def ordered_slices(
     ]
     if value:
         columns += [
-            (F.sum("_v").over(upto) - F.col("_v")).alias("_value_before"),
+            (F.sum("_v").over(upto) - F.coalesce("_v", F.lit(0))).alias("_value_before"),
             F.sum("_v").over(every).alias("_value_total"),
         ]
     return Slices(rows, per_slice.select(*columns))
@@ -108,21 +125,27 @@ def global_rank(
     """Number the rows 1..n over the whole table, in ``order``.
 
     Adds ``rank`` and ``rows_total``; with ``value`` also ``running_total`` and
-    ``grand_total`` of that column.
+    ``grand_total`` of that column. The rank needs no shuffle beyond the one
+    that made the slices; a running total needs one more, by slice.
     """
     cut = ordered_slices(df, order, folder, name, value)
-    inside = Window.partitionBy("_slice").orderBy(*order)
-    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # One row per slice: its size is bounded by the number of slices.
     rows = cut.rows.join(F.broadcast(cut.before), "_slice")
     columns = [
         *[F.col(c) for c in df.columns],
-        (F.row_number().over(inside) + F.col("_rows_before")).alias(rank),
+        (F.col("_rows_before") + F.col("_place") + 1).alias(rank),
         F.col("_rows_total").alias("rows_total"),
     ]
     if value:
+        upto = (
+            Window.partitionBy("_slice")
+            .orderBy("_place")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
         columns += [
-            (F.sum(value).over(upto) + F.col("_value_before")).alias("running_total"),
+            (F.coalesce(F.sum(value).over(upto), F.lit(0)) + F.col("_value_before")).alias(
+                "running_total"
+            ),
             F.col("_value_total").alias("grand_total"),
         ]
     return rows.select(*columns)

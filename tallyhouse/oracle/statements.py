@@ -289,11 +289,11 @@ _PLAIN: dict[str, str] = {
         where l_orderkey in (select o_orderkey from orders where o_orderpriority = '1-URGENT')
         group by 1""",
     "c11_orphans": """
-        select 'l_partkey' as "column", l_partkey as "value", count(*) as "rows" from lineitem
-        where l_partkey not in (select p_partkey from part where p_size < 25) group by 2
+        select 'lineitem' as "table", 'l_partkey' as "column", l_partkey as "value", count(*) as "rows" from lineitem
+        where l_partkey not in (select p_partkey from part where p_size < 25) group by 3
         union all
-        select 'l_suppkey', l_suppkey, count(*) from lineitem
-        where l_suppkey not in (select s_suppkey from supplier where s_nationkey < 20) group by 2""",
+        select 'lineitem', 'l_suppkey', l_suppkey, count(*) from lineitem
+        where l_suppkey not in (select s_suppkey from supplier where s_nationkey < 20) group by 3""",
     "d06_most_frequent": """
         select user_id, event_type
         from (select user_id, event_type,
@@ -580,24 +580,26 @@ _PLAIN["l07_revenue_mismatch"] = (
 
 
 def _report() -> str:
-    def found(check: str, name: str, pairs, column: bool = True) -> list[str]:
+    def found(check: str, name: str, pairs, column: bool = True, count: str = "count(*)") -> list[str]:
         rows = []
         for table, col in pairs:
             same = f""" and "column" = '{col}'""" if column else ""
             rows.append(
                 f"""select '{check}' as "check", '{table}' as "table", '{col}' as "column",
-                    (select count(*) from ({_PLAIN[name]}) where "table" = '{table}'{same})
-                        as violations"""
+                    (select cast(coalesce({count}, 0) as bigint) from ({_PLAIN[name]})
+                     where "table" = '{table}'{same}) as violations"""
             )
         return rows
 
     parts = [
         *found("unique", "l01_unique", [(t, c) for t, cs in quality.UNIQUE.items() for c in cs]),
-        *found("not_null", "l02_not_null", [(t, c) for t, cs in quality.NOT_NULL.items() for c in cs]),
+        *found("not_null", "l02_not_null", [(t, c) for t, cs in quality.NOT_NULL.items() for c in cs],
+               count="sum(nulls)"),
         *found(
             "relationships",
             "l03_relationships",
             [(t, c) for t, cs in quality.PARENTS.items() for c in cs],
+            count='sum("rows")',
         ),
         *found("accepted_values", "l04_accepted_values", list(quality.ACCEPTED)),
         *found("grain", "l05_grain", [(t, "") for t in quality.GRAINS], column=False),

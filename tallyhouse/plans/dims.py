@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse import fixed_values as fixed
@@ -53,43 +53,17 @@ def dim_date(spark: SparkSession, first: date, last: date) -> DataFrame:
 def points_per_zip(geolocation: DataFrame) -> DataFrame:
     """One row per zip: mean point, most frequent city and state.
 
-    Points are first summed per (zip, city, state), which collapses the many
-    points of a zip before anything is shuffled by zip. Ties between equally
-    frequent names go to the smallest name.
+    ``mode`` keeps counts per distinct name, not rows, and is combined before
+    the shuffle, so a zip with very many points is no burden. Ties between
+    equally frequent names go to the smallest one.
     """
-    spellings = (
-        geolocation.select(
-            F.col("geolocation_zip_code_prefix").try_cast("int").alias("zip_code_prefix"),
-            S.tidy_city(F.col("geolocation_city")).alias("city"),
-            S.tidy_state(F.col("geolocation_state")).alias("state"),
-            F.col("geolocation_lat").alias("lat"),
-            F.col("geolocation_lng").alias("lng"),
-        )
-        .groupBy("zip_code_prefix", "city", "state")
-        .agg(
-            F.count(F.lit(1)).alias("points"),
-            F.sum("lat").alias("lat_sum"),
-            F.count("lat").alias("lat_n"),
-            F.sum("lng").alias("lng_sum"),
-            F.count("lng").alias("lng_n"),
-        )
-    )
-
-    def votes(name: str):
-        counted = F.sum("points").over(Window.partitionBy("zip_code_prefix", name))
-        return F.when(F.col(name).isNotNull(), counted)
-
-    def winner(name: str):
-        # min_by on (-votes, name): most votes first, then the smallest name.
-        order = F.struct(-F.col(f"{name}_votes"), F.col(name))
-        return F.min_by(F.col(name), F.when(F.col(name).isNotNull(), order))
-
-    voted = spellings.withColumns({"city_votes": votes("city"), "state_votes": votes("state")})
-    return voted.groupBy("zip_code_prefix").agg(
-        winner("city").alias("city"),
-        winner("state").alias("state"),
-        S.ratio(F.sum("lat_sum"), F.sum("lat_n")).alias("latitude"),
-        S.ratio(F.sum("lng_sum"), F.sum("lng_n")).alias("longitude"),
+    return geolocation.groupBy(
+        F.col("geolocation_zip_code_prefix").try_cast("int").alias("zip_code_prefix")
+    ).agg(
+        F.mode(S.tidy_city(F.col("geolocation_city")), deterministic=True).alias("city"),
+        F.mode(S.tidy_state(F.col("geolocation_state")), deterministic=True).alias("state"),
+        F.avg("geolocation_lat").alias("latitude"),
+        F.avg("geolocation_lng").alias("longitude"),
     )
 
 

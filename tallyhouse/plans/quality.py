@@ -84,54 +84,91 @@ DURATIONS = ["delivery_days", "seller_processing_days", "carrier_transit_days"]
 
 
 # --- operators on any table --------------------------------------------------
+def _union(frames: Sequence[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame)
+    return out
+
+
+def _stacked(cells: Sequence[Mapping[str, str]]) -> str:
+    """SQL that turns one row into one row per cell ({name: expression})."""
+    structs = [
+        "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in cell.items()) + ")"
+        for cell in cells
+    ]
+    return f"inline(array({', '.join(structs)}))"
+
+
 def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values that occur more than once, with how often."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
-def not_unique(df: DataFrame, column: str) -> DataFrame:
-    """As ``duplicates``, for one column; NULLs may repeat."""
-    found = duplicates(df.filter(F.col(column).isNotNull()), [column])
-    return found.select(F.col(column).cast("string").alias("value"), "n")
+def repeated_values(tables: Mapping[str, DataFrame], columns: Mapping[str, Sequence[str]]) -> DataFrame:
+    """(table, column, value, n) of values that repeat in a column that must not.
+
+    NULLs may repeat. All columns of all tables are counted in one shuffle, and
+    within each task first, so a value with very many copies is one row there.
+    """
+    cells = [
+        tables[table].selectExpr(
+            f"'{table}' as table",
+            _stacked([{"column": f"'{c}'", "value": f"cast({c} as string)"} for c in names]),
+        )
+        for table, names in columns.items()
+    ]
+    return duplicates(_union(cells).filter(F.col("value").isNotNull()), ["table", "column", "value"])
 
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, nulls) for the columns that hold NULLs; one pass for all."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    cells = [F.struct(F.lit(c).alias("column"), F.col(c).alias("nulls")) for c in columns]
-    return counts.select(F.inline(F.array(*cells))).filter(F.col("nulls") > 0)
+    counts = df.agg(*[F.expr(f"count_if({c} is null) as {c}") for c in columns])
+    cells = [{"column": f"'{c}'", "nulls": c} for c in columns]
+    return counts.selectExpr(_stacked(cells)).filter("nulls > 0")
 
 
 def orphans(
-    df: DataFrame,
-    parents: Mapping[str, tuple[str, str]],
+    children: Mapping[str, DataFrame],
+    parents: Mapping[str, Mapping[str, tuple[str, str]]],
     table: Callable[[str], DataFrame],
 ) -> DataFrame:
-    """(column, value, rows) of non-NULL keys that are missing in their parent.
+    """(table, column, value, rows) of non-NULL keys missing in their parent.
 
-    All keys of a table are checked in one scan: values are counted per column
-    inside each task, so what is shuffled is at most one row per distinct key
-    and task, and a key that most rows share is one row. The anti join then
-    runs on distinct keys.
+    ``parents`` maps a table and its key column to (parent, parent key). Each
+    child is scanned once for all its keys. Values are counted inside each task
+    before the shuffle, so a key that most rows share is one row there, and the
+    anti join runs on distinct keys.
     """
-    cells = [
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("bigint").alias("value")) for c in parents
+    used = [
+        children[name].selectExpr(
+            f"'{name}' as table",
+            _stacked(
+                [
+                    {
+                        "column": f"'{column}'",
+                        "parent": f"'{parent}'",
+                        "value": f"cast({column} as bigint)",
+                    }
+                    for column, (parent, _) in links.items()
+                ]
+            ),
+        )
+        for name, links in parents.items()
     ]
-    used = (
-        df.select(F.inline(F.array(*cells)))
+    counted = (
+        _union(used)
         .filter(F.col("value").isNotNull())
-        .groupBy("column", "value")
+        .groupBy("table", "column", "parent", "value")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    by_parent: dict[tuple[str, str], list[str]] = {}
-    for column, parent in parents.items():
-        by_parent.setdefault(parent, []).append(column)
-    known = None
-    for (parent, key), columns in by_parent.items():
-        names = F.explode(F.array(*[F.lit(c) for c in columns])).alias("column")
-        keys = table(parent).select(F.col(key).cast("bigint").alias("value"), names)
-        known = keys if known is None else known.unionByName(keys)
-    return used.join(known, ["column", "value"], "left_anti")
+    keys = sorted({link for links in parents.values() for link in links.values()})
+    known = [
+        table(parent).select(F.lit(parent).alias("parent"), F.col(key).cast("bigint").alias("value"))
+        for parent, key in keys
+    ]
+    missing = counted.join(_union(known), ["parent", "value"], "left_anti")
+    return missing.select("table", "column", "value", "rows")
 
 
 def outside(df: DataFrame, column: str, accepted: Sequence) -> DataFrame:
@@ -143,23 +180,8 @@ def outside(df: DataFrame, column: str, accepted: Sequence) -> DataFrame:
 
 
 # --- the checks of the warehouse ---------------------------------------------
-def _union(frames: Sequence[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out
-
-
 def unique_violations(wh: Warehouse) -> DataFrame:
-    return _union(
-        [
-            not_unique(wh[table], column).select(
-                F.lit(table).alias("table"), F.lit(column).alias("column"), "value", "n"
-            )
-            for table, columns in UNIQUE.items()
-            for column in columns
-        ]
-    )
+    return repeated_values({table: wh[table] for table in UNIQUE}, UNIQUE)
 
 
 def null_violations(wh: Warehouse) -> DataFrame:
@@ -172,14 +194,7 @@ def null_violations(wh: Warehouse) -> DataFrame:
 
 
 def relationship_violations(wh: Warehouse) -> DataFrame:
-    return _union(
-        [
-            orphans(wh[table], parents, lambda name: wh[name]).select(
-                F.lit(table).alias("table"), "column", "value", "rows"
-            )
-            for table, parents in PARENTS.items()
-        ]
-    )
+    return orphans({table: wh[table] for table in PARENTS}, PARENTS, lambda name: wh[name])
 
 
 def accepted_violations(wh: Warehouse) -> DataFrame:
@@ -247,45 +262,37 @@ def revenue_mismatch(wh: Warehouse) -> DataFrame:
 def negative_durations(wh: Warehouse) -> DataFrame:
     """(column, rows) of durations below zero; an extra, optional check."""
     items = wh["fact_order_items"]
-    counts = items.agg(*[F.count_if(F.col(c) < 0).alias(c) for c in DURATIONS])
-    cells = [F.struct(F.lit(c).alias("column"), F.col(c).alias("rows")) for c in DURATIONS]
-    return counts.select(F.inline(F.array(*cells))).filter(F.col("rows") > 0)
+    counts = items.agg(*[F.expr(f"count_if({c} < 0) as {c}") for c in DURATIONS])
+    cells = [{"column": f"'{c}'", "rows": c} for c in DURATIONS]
+    return counts.selectExpr(_stacked(cells)).filter("rows > 0")
 
 
 def report(wh: Warehouse) -> DataFrame:
     """One row per check and column: how many violations it found (0 = passed)."""
 
-    def declared(check: str, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-        cells = [
-            F.struct(
-                F.lit(check).alias("check"), F.lit(t).alias("table"), F.lit(c).alias("column")
-            )
-            for t, c in pairs
-        ]
-        return wh.spark.range(0, 1, 1, 1).select(F.inline(F.array(*cells)))
-
-    def counted(df: DataFrame, check: str) -> DataFrame:
+    def counted(df: DataFrame, check: str, rows: str | None = None) -> DataFrame:
+        """Violations per table and column: reported rows, or the rows they stand for."""
         column = F.col("column") if "column" in df.columns else F.lit("")
+        found = F.sum(rows) if rows else F.count(F.lit(1))
         return df.groupBy(
             F.lit(check).alias("check"), F.col("table"), column.alias("column")
-        ).agg(F.count(F.lit(1)).alias("violations"))
-
-    expected = _union(
-        [
-            declared("unique", [(t, c) for t, cs in UNIQUE.items() for c in cs]),
-            declared("not_null", [(t, c) for t, cs in NOT_NULL.items() for c in cs]),
-            declared("relationships", [(t, c) for t, cs in PARENTS.items() for c in cs]),
-            declared("accepted_values", list(ACCEPTED)),
-            declared("grain", [(t, "") for t in GRAINS]),
-            declared("rows_kept", [(t, "") for t in STAGED_OF]),
-            declared("revenue", [("fact_order_items", "")]),
-        ]
-    )
+        ).agg(found.alias("violations"))
+
+    declared = [
+        *[("unique", t, c) for t, columns in UNIQUE.items() for c in columns],
+        *[("not_null", t, c) for t, columns in NOT_NULL.items() for c in columns],
+        *[("relationships", t, c) for t, columns in PARENTS.items() for c in columns],
+        *[("accepted_values", t, c) for t, c in ACCEPTED],
+        *[("grain", t, "") for t in GRAINS],
+        *[("rows_kept", t, "") for t in STAGED_OF],
+        ("revenue", "fact_order_items", ""),
+    ]
+    expected = wh.spark.createDataFrame(declared, "check string, table string, column string")
     found = _union(
         [
             counted(unique_violations(wh), "unique"),
-            counted(null_violations(wh), "not_null"),
-            counted(relationship_violations(wh), "relationships"),
+            counted(null_violations(wh), "not_null", "nulls"),
+            counted(relationship_violations(wh), "relationships", "rows"),
             counted(accepted_violations(wh), "accepted_values"),
             counted(grain_violations(wh), "grain"),
             counted(lost_rows(wh).withColumnRenamed("table_name", "table"), "rows_kept"),

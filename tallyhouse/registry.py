@@ -208,8 +208,10 @@ def _orphan_users(t) -> DataFrame:
         "part": lambda: t("part").filter(F.col("p_size") < 25),
         "supplier": lambda: t("supplier").filter(F.col("s_nationkey") < 20),
     }
-    parents = {"l_partkey": ("part", "p_partkey"), "l_suppkey": ("supplier", "s_suppkey")}
-    return quality.orphans(t("lineitem"), parents, lambda name: tables[name]())
+    links = {"l_partkey": ("part", "p_partkey"), "l_suppkey": ("supplier", "s_suppkey")}
+    return quality.orphans(
+        {"lineitem": t("lineitem")}, {"lineitem": links}, lambda name: tables[name]()
+    )
 
 
 def _top_event_type(t) -> DataFrame:

@@ -8,10 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def _schema_file(path: str) -> str:
-    return f"{path}/_SUCCESS"
-
-
 class TableFolder:
     """Named Parquet tables below one folder."""
 
@@ -19,6 +15,7 @@ class TableFolder:
         self.spark = spark
         self.path = path.rstrip("/")
         self._schemas: dict[str, T.StructType] = {}
+        self._open: dict[str, DataFrame] = {}
 
     def path_of(self, name: str) -> str:
         return f"{self.path}/{name}"
@@ -28,8 +25,10 @@ class TableFolder:
 
     def exists(self, name: str) -> bool:
         """True once a write of the table has been committed."""
+        if name in self._open:
+            return True
         jvm = self.spark.sparkContext._jvm
-        marker = jvm.org.apache.hadoop.fs.Path(_schema_file(self.path_of(name)))
+        marker = jvm.org.apache.hadoop.fs.Path(f"{self.path_of(name)}/_SUCCESS")
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         return marker.getFileSystem(conf).exists(marker)
 
@@ -47,6 +46,7 @@ class TableFolder:
         hot value does not become one task or one file. ``sort_by`` orders the
         rows of each file, which lets readers skip row groups.
         """
+        self._open.pop(name, None)
         out = df
         if partition_by:
             out = out.hint("rebalance", *partition_by)
@@ -64,8 +64,11 @@ class TableFolder:
         return self.read(name)
 
     def read(self, name: str) -> DataFrame:
-        reader = self.spark.read
-        schema = self._schemas.get(name)
-        if schema is not None:
-            reader = reader.schema(schema)
-        return reader.parquet(self.path_of(name))
+        """The table as last written here; its files are listed once."""
+        if name not in self._open:
+            reader = self.spark.read
+            schema = self._schemas.get(name)
+            if schema is not None:
+                reader = reader.schema(schema)
+            self._open[name] = reader.parquet(self.path_of(name))
+        return self._open[name]
