@@ -186,7 +186,8 @@ def within_orders(wh: Warehouse, fact: str, filters: Filters | None) -> DataFram
         return passing.select(*rows.columns)
     # The purchase day is resolved from the same order header in every fact, so
     # narrowing the fact by it as well changes nothing but the rows scanned.
-    return _in_days(rows, filters).join(kept_orders(wh, filters), "order_id", "left_semi")
+    kept = _in_days(rows, filters).join(kept_orders(wh, filters), "order_id", "left_semi")
+    return kept.select(*rows.columns)
 
 
 def within_payments(wh: Warehouse, filters: Filters | None) -> DataFrame:
