@@ -97,19 +97,15 @@ def order_items(t: Callable[[str], DataFrame]) -> DataFrame:
     every order's lines in one task; an id that is a function of the row needs
     no shuffle, differs for different rows, and is equal only for full copies.
     """
-    two = "decimal(18,2)"
+    numbers = ["l_linenumber", "l_partkey", "l_suppkey"]
+    hundredths = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     line_id = F.concat_ws(
         "|",
-        F.col("l_linenumber").cast("string"),
-        F.col("l_partkey").cast("string"),
-        F.col("l_suppkey").cast("string"),
-        *[
-            F.col(c).cast(two).cast("string")
-            for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
-        ],
+        *[F.col(c).cast("string") for c in numbers],
+        *[F.round(F.col(c) * 100).cast("bigint").cast("string") for c in hundredths],
         F.col("l_returnflag"),
         F.col("l_linestatus"),
-        F.col("l_shipdate").cast("date").cast("string"),
+        F.unix_date(F.col("l_shipdate").cast("date")).cast("string"),
     )
     price = _scaled(F.col("l_extendedprice"), "0.005")
     return t("lineitem").select(

@@ -157,16 +157,6 @@ def dense_key(df: DataFrame, business_key: str, name: str, folder: TableFolder,
     return ranked.select(F.col(name).cast("int").alias(name), *df.columns)
 
 
-def dense_key_of_vocabulary(df: DataFrame, business_key: str, name: str) -> DataFrame:
-    """Surrogate key 1..n for a handful of distinct codes.
-
-    One task numbers them, so this is only for a column whose distinct values
-    are words of the business (an order status, a payment method).
-    """
-    window = Window.orderBy(F.col(business_key).asc_nulls_last())
-    return df.select(F.row_number().over(window).cast("int").alias(name), *df.columns)
-
-
 def tile_of_rank(rank: Column, rows: Column, tiles: int) -> Column:
     """The ntile group of a 1-based rank: the first groups take the remainder."""
     base = F.floor(rows / F.lit(tiles)).cast("bigint")

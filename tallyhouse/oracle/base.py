@@ -87,13 +87,13 @@ _LINE_ID = "concat_ws('|', " + ", ".join(
         "l_linenumber",
         "l_partkey",
         "l_suppkey",
-        "cast(l_quantity as decimal(18, 2))",
-        "cast(l_extendedprice as decimal(18, 2))",
-        "cast(l_discount as decimal(18, 2))",
-        "cast(l_tax as decimal(18, 2))",
+        *[
+            f"cast(round({c} * 100) as bigint)"
+            for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+        ],
         "l_returnflag",
         "l_linestatus",
-        "cast(l_shipdate as date)",
+        "date_diff('day', date '1970-01-01', cast(l_shipdate as date))",
     ]
 ) + ")"
 

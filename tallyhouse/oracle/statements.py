@@ -241,7 +241,8 @@ _PLAIN: dict[str, str] = {
     "a01_csv_scan": f"""
         select order_id, order_item_id, product_id, seller_id, l_shipdate as shipping_limit_date,
                {money('price')} as price, {money('freight_value')} as freight_value
-        from (select *, cast(split_part(order_item_id, '|', 10) as timestamp) as l_shipdate
+        from (select *, cast(date '1970-01-01' + cast(split_part(order_item_id, '|', 10) as integer)
+                             as timestamp) as l_shipdate
               from raw_items)""",
     "a03_staged_orders": f"""
         select order_id, customer_id, status as order_status, purchased as order_purchase_timestamp,

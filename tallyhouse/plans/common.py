@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import scalars as S
 from tallyhouse.operators.ranking import top_per_group
-from tallyhouse.plans.filters import Filters, star, within_orders
+from tallyhouse.plans.filters import Filters, per_order, star, within_orders
 from tallyhouse.plans.warehouse import Warehouse
 
 def n_rows() -> Column:
@@ -37,9 +37,9 @@ def known_category(df: DataFrame) -> DataFrame:
 
 
 def score_per_order(wh: Warehouse, filters: Filters | None = None) -> DataFrame:
-    """Reviews at order grain; an order may have several."""
-    reviews = within_orders(wh, "fact_order_reviews", filters)
-    return reviews.groupBy("order_id").agg(S.mean(F.col("review_score")).alias("review_score"))
+    """Reviews at order grain (an order may have several), to join with kept orders."""
+    score = S.mean(F.col("review_score")).alias("review_score")
+    return per_order(wh, "fact_order_reviews", filters, [score], meets_kept=True)
 
 
 def dominant_category(wh: Warehouse, filters: Filters | None = None) -> DataFrame:
@@ -48,10 +48,14 @@ def dominant_category(wh: Warehouse, filters: Filters | None = None) -> DataFram
     Lines are counted per (order, category) first, so that even an order with
     very many lines reaches the second step as one row per category.
     """
-    counted = (
-        known_category(items_by(wh, filters, product=("category",)))
-        .groupBy("order_id", "category")
-        .agg(n_rows().alias("lines"))
+    product = {"product_key": ("dim_products", "product_key", {"category": "category"})}
+    counted = per_order(
+        wh,
+        "fact_order_items",
+        filters,
+        [n_rows().alias("lines")],
+        groups=["category"],
+        prepare=lambda rows: known_category(star(wh, rows, product)),
     )
     best = top_per_group(counted, ["order_id"], [F.desc("lines"), F.asc("category")])
     return best.select("order_id", "category")

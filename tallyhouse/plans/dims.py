@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse import fixed_values as fixed
 from tallyhouse.functions import scalars as S
-from tallyhouse.operators.ranking import dense_key, dense_key_of_vocabulary
+from tallyhouse.operators.ranking import dense_key
 from tallyhouse.operators.rows import dedup, resolve_fk, with_unknown
 from tallyhouse.sources.tables import TableFolder
 
@@ -194,10 +194,10 @@ def dim_products(products: DataFrame, translation: DataFrame, slices: TableFolde
     )
 
 
-def dim_order_status(orders: DataFrame) -> DataFrame:
+def dim_order_status(orders: DataFrame, slices: TableFolder) -> DataFrame:
     status = F.col("order_status")
     seen = orders.select("order_status").distinct()
-    keyed = dense_key_of_vocabulary(seen, "order_status", "order_status_key")
+    keyed = dense_key(seen, "order_status", "order_status_key", slices, "dim_order_status")
     out = keyed.select(
         "order_status_key",
         "order_status",
@@ -221,10 +221,10 @@ def dim_order_status(orders: DataFrame) -> DataFrame:
     )
 
 
-def dim_payment_type(payments: DataFrame) -> DataFrame:
+def dim_payment_type(payments: DataFrame, slices: TableFolder) -> DataFrame:
     method = F.col("payment_type")
     seen = payments.select("payment_type").distinct()
-    keyed = dense_key_of_vocabulary(seen, "payment_type", "payment_type_key")
+    keyed = dense_key(seen, "payment_type", "payment_type_key", slices, "dim_payment_type")
     out = keyed.select(
         "payment_type_key",
         "payment_type",

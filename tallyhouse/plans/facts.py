@@ -122,22 +122,17 @@ def fact_order_items(
     lines = resolve_fk(
         lines, products, on={"product_id": "product_id"}, take={"product_key": UNKNOWN}
     )
-    located_sellers = resolve_fk(
-        sellers.select("seller_id", "seller_key", "geography_key"),
-        geography,
-        on={"geography_key": "geography_key"},
-        take={"latitude": None, "longitude": None},
-    )
     lines = resolve_fk(
         lines,
-        located_sellers,
+        sellers,
         on={"seller_id": "seller_id"},
-        take={
-            "seller_key": UNKNOWN,
-            "geography_key": UNKNOWN,
-            "latitude": None,
-            "longitude": None,
-        },
+        take={"seller_key": UNKNOWN, "geography_key": UNKNOWN},
+    )
+    lines = resolve_fk(
+        lines,
+        geography,
+        on={"geography_key": "geography_key"},
+        take={"latitude": None, "longitude": None},
     )
     lines = _with_header(
         lines,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -165,29 +165,67 @@ def kept_orders(wh: Warehouse, filters: Filters) -> DataFrame:
     return item_view(wh, filters, ["order_id"]).distinct()
 
 
-def within_orders(wh: Warehouse, fact: str, filters: Filters | None) -> DataFrame:
-    """The fact's rows that belong to kept orders (order-level filtering).
+def _order_scope(
+    wh: Warehouse, fact: str, filters: Filters | None
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of a fact, and the orders they still have to belong to.
 
-    Other items of a kept order stay. Day, region and state are the same for
-    all items of an order, so without a category filter an item is in a kept
-    order exactly when it passes itself, and the semi-join is not needed. The
-    other facts may hold orders without items and always need it.
+    Day, region and state are the same for all items of an order, so without a
+    category filter an item is in a kept order exactly when it passes itself,
+    and no semi-join is left to do. The other facts may hold orders without
+    items and always need it.
     """
     rows = wh[fact]
     if filters is None:
+        return rows, None
+    # The purchase day comes from the same order header in every fact, so
+    # narrowing by it changes nothing but the rows scanned.
+    dated = _in_days(rows, filters)
+    if fact != "fact_order_items" or filters.categories is not None:
+        return dated, kept_orders(wh, filters)
+    tested = {"customer_region": filters.regions, "customer_state": filters.customer_states}
+    names = [name for name, values in tested.items() if values is not None]
+    passing = _attributes(wh, dated, names) if names else dated
+    for name in names:
+        passing = one_of(passing, name, tested[name])
+    return passing.select(*rows.columns), None
+
+
+def within_orders(wh: Warehouse, fact: str, filters: Filters | None) -> DataFrame:
+    """The fact's rows that belong to kept orders (order-level filtering).
+
+    Other items of a kept order stay. Use ``per_order`` instead where the rows
+    are then grouped by order.
+    """
+    rows, kept = _order_scope(wh, fact, filters)
+    if kept is None:
         return rows
-    if fact == "fact_order_items" and filters.categories is None:
-        out = _in_days(rows, filters)
-        tested = {"customer_region": filters.regions, "customer_state": filters.customer_states}
-        names = [name for name, values in tested.items() if values is not None]
-        passing = _attributes(wh, out, names) if names else out
-        for name in names:
-            passing = one_of(passing, name, tested[name])
-        return passing.select(*rows.columns)
-    # The purchase day is resolved from the same order header in every fact, so
-    # narrowing the fact by it as well changes nothing but the rows scanned.
-    kept = _in_days(rows, filters).join(kept_orders(wh, filters), "order_id", "left_semi")
-    return kept.select(*rows.columns)
+    return rows.join(kept, "order_id", "left_semi").select(*rows.columns)
+
+
+def per_order(
+    wh: Warehouse,
+    fact: str,
+    filters: Filters | None,
+    aggregates: Sequence[Column],
+    groups: Sequence[str] = (),
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+    meets_kept: bool = False,
+) -> DataFrame:
+    """A fact at the grain of kept orders (and ``groups`` within them).
+
+    Rows are aggregated before the semi-join. In the other order the join would
+    shuffle raw rows by order, and the grouping after it would keep Spark from
+    splitting an order that holds very many of them. ``meets_kept`` says that
+    the result will be inner-joined with kept orders anyway, which saves the
+    semi-join on this side.
+    """
+    rows, kept = _order_scope(wh, fact, filters)
+    ready = prepare(rows) if prepare else rows
+    grouped = ready.groupBy("order_id", *groups).agg(*aggregates)
+    if kept is None or meets_kept:
+        return grouped
+    return grouped.join(kept, "order_id", "left_semi")
 
 
 def within_payments(wh: Warehouse, filters: Filters | None) -> DataFrame:

@@ -12,7 +12,7 @@ from tallyhouse.functions import measures as M
 from tallyhouse.functions import scalars as S
 from tallyhouse.operators.ranking import share_of_group, top_per_group, top_rows
 from tallyhouse.plans.common import n_rows, as_money, dominant_category, items_by
-from tallyhouse.plans.filters import Filters, item_view, star, within_orders, within_payments
+from tallyhouse.plans.filters import Filters, item_view, per_order, star, within_payments
 from tallyhouse.plans.warehouse import Warehouse
 
 def n_orders():
@@ -107,11 +107,8 @@ def instalments_by_category(
     wh: Warehouse, filters: Filters | None = None, min_orders: int = 50, limit: int = 15
 ) -> DataFrame:
     """Drill-across: an order's main category against its instalments."""
-    plans = (
-        within_orders(wh, "fact_order_payments", filters)
-        .groupBy("order_id")
-        .agg(F.max("payment_installments").alias("instalments"))
-    )
+    most = F.max("payment_installments").alias("instalments")
+    plans = per_order(wh, "fact_order_payments", filters, [most], meets_kept=True)
     both = dominant_category(wh, filters).join(plans, "order_id")
     counted = (
         both.groupBy("category")

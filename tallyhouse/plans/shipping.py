@@ -12,7 +12,7 @@ from tallyhouse.functions import measures as M
 from tallyhouse.functions import scalars as S
 from tallyhouse.operators.ranking import top_rows
 from tallyhouse.plans.common import n_rows, by_bucket, items_by, score_per_order
-from tallyhouse.plans.filters import Filters, item_view, star, within_orders
+from tallyhouse.plans.filters import Filters, item_view, per_order, star
 from tallyhouse.plans.warehouse import Warehouse
 
 def avg_freight():
@@ -62,11 +62,12 @@ def delivery_vs_review(
     Both facts are brought to order grain before they meet; joined row by row
     they would multiply.
     """
-    delivered = (
-        within_orders(wh, "fact_order_items", filters)
-        .filter(F.col("delivery_days").isNotNull())
-        .groupBy("order_id")
-        .agg(M.average("delivery_days").alias("delivery_days"))
+    delivered = per_order(
+        wh,
+        "fact_order_items",
+        filters,
+        [M.average("delivery_days").alias("delivery_days")],
+        prepare=lambda rows: rows.filter(F.col("delivery_days").isNotNull()),
     )
     both = delivered.join(score_per_order(wh, filters), "order_id")
     return by_bucket(both, S.bucketize(F.col("delivery_days"), cuts, labels), "delivery_bucket")
@@ -79,12 +80,12 @@ def freight_share_vs_review(
     labels: Sequence[str] = fixed.FREIGHT_PCT_LABELS,
 ) -> DataFrame:
     """Drill-across: freight in percent of the basket against the score."""
-    baskets = (
-        within_orders(wh, "fact_order_items", filters)
-        .groupBy("order_id")
-        .agg(M.total("freight_value").alias("freight"), M.total("price").alias("basket"))
-        .filter(F.col("basket") > 0)
-    )
+    baskets = per_order(
+        wh,
+        "fact_order_items",
+        filters,
+        [M.total("freight_value").alias("freight"), M.total("price").alias("basket")],
+    ).filter(F.col("basket") > 0)
     both = baskets.join(score_per_order(wh, filters), "order_id")
     # freight / basket < cut / 100, without a division: exact on decimals.
     bucket = None

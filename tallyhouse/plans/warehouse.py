@@ -86,8 +86,8 @@ class Warehouse:
             "dim_products": lambda: dims.dim_products(
                 stage("products"), stage("category_translation"), slices
             ),
-            "dim_order_status": lambda: dims.dim_order_status(stage("orders")),
-            "dim_payment_type": lambda: dims.dim_payment_type(stage("order_payments")),
+            "dim_order_status": lambda: dims.dim_order_status(stage("orders"), slices),
+            "dim_payment_type": lambda: dims.dim_payment_type(stage("order_payments"), slices),
             "fact_order_items": lambda: facts.fact_order_items(
                 stage("order_items"),
                 self._header(),
