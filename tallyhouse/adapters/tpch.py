@@ -102,7 +102,7 @@ def order_items(t: Callable[[str], DataFrame]) -> DataFrame:
     line_id = F.concat_ws(
         "|",
         *[F.col(c).cast("string") for c in numbers],
-        *[F.round(F.col(c) * 100).cast("bigint").cast("string") for c in hundredths],
+        *[F.floor(F.col(c) * 100 + 0.5).cast("string") for c in hundredths],
         F.col("l_returnflag"),
         F.col("l_linestatus"),
         F.unix_date(F.col("l_shipdate").cast("date")).cast("string"),

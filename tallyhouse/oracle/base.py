@@ -88,7 +88,7 @@ _LINE_ID = "concat_ws('|', " + ", ".join(
         "l_partkey",
         "l_suppkey",
         *[
-            f"cast(round({c} * 100) as bigint)"
+            f"cast(floor({c} * 100 + 0.5) as bigint)"
             for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
         ],
         "l_returnflag",
