@@ -82,9 +82,8 @@ def ordered_slices(
     survives a lost executor. ``order`` must be unique per row, so that no
     slice can be hot.
     """
-    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cut = (
-        df.repartitionByRange(slices, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_id", F.monotonically_increasing_id())
     )

@@ -16,7 +16,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 

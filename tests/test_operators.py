@@ -65,6 +65,28 @@ def test_dense_key_equals_the_global_window_without_one_big_task(spark, work):
     assert rows(keyed) == rows(plain)
 
 
+@pytest.mark.parametrize("partitions", [1, 3, 64, 200])
+def test_global_rank_with_any_number_of_slices(spark, work, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    sizes = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "2KB"}
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
+    try:
+        df = spark.range(0, 5000, 1, 6).select(
+            ((F.col("id") * 7919) % 5000).alias("id"), (F.col("id") % 13).alias("v")
+        )
+        ranked = ranking.global_rank(df, [F.desc("v"), F.asc("id")], work, f"p{partitions}")
+        plain = df.select("id", F.row_number().over(Window.orderBy(F.desc("v"), "id")).alias("rank"))
+        assert rows(ranked, "id", "rank") == rows(plain)
+        slices = ranking.ordered_slices(df, [F.asc("id")], work, f"s{partitions}").before.count()
+        assert slices == 1 if partitions == 1 else slices > 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        for key in sizes:
+            spark.conf.unset(key)
+
+
 def test_dense_key_survives_fewer_rows_than_slices(spark, work):
     df = spark.createDataFrame([("b",), ("a",)], "id string")
     assert rows(ranking.dense_key(df, "id", "key", work, "few")) == [(1, "a"), (2, "b")]
