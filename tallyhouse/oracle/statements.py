@@ -336,7 +336,10 @@ _PLAIN: dict[str, str] = {
         select date_diff('hour', ts - to_minutes(event_id % 300), ts) as hours, count(*) as events
         from events group by 1""",
     # dimensions and facts
-    "i01_dim_date": "select * from dim_date",
+    "i01_dim_date": """
+        select d.*, coalesce(items, 0) as items
+        from dim_date d left join (select purchase_date_key as date_key, count(*) as items
+                                   from fact_order_items group by 1) using (date_key)""",
     "i02_dim_geography": f"""
         select * replace ({r('latitude', 6)} as latitude, {r('longitude', 6)} as longitude)
         from dim_geography""",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import sys
 import time
 from pathlib import Path
@@ -38,12 +37,6 @@ def _key(row):
     return tuple((v is None, "" if v is None else v) for v in row)
 
 
-def _equal(a, b) -> bool:
-    if isinstance(a, float) and isinstance(b, float):
-        return a == b or math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-12)
-    return a == b
-
-
 def compare(df, con, sql: str) -> list[str]:
     """What differs, as text; an empty list means equal."""
     problems = []
@@ -62,7 +55,7 @@ def compare(df, con, sql: str) -> list[str]:
     theirs = sorted((tuple(r[i] for i in order) for r in theirs), key=_key)
     if len(ours) != len(theirs):
         return problems + [f"{len(ours)} rows against {len(theirs)}"]
-    wrong = [(a, b) for a, b in zip(ours, theirs) if not all(map(_equal, a, b))]
+    wrong = [(a, b) for a, b in zip(ours, theirs) if a != b]
     if wrong:
         problems.append(f"{len(wrong)} rows differ, first {columns}: {wrong[0]}")
     return problems
