@@ -61,7 +61,7 @@ def csv_sources(
 
 def staged(raw: DataFrame, snapshot_time: datetime = fixed.SNAPSHOT_TIME) -> DataFrame:
     """The raw rows plus the moment the snapshot was taken."""
-    return raw.withColumn("ingestion_timestamp", F.lit(snapshot_time).cast("timestamp_ntz"))
+    return raw.withColumn("ingestion_timestamp", F.lit(snapshot_time.isoformat(" ")).cast("timestamp_ntz"))
 
 
 def register_views(

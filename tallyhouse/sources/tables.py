@@ -37,21 +37,22 @@ class TableFolder:
         name: str,
         df: DataFrame,
         partition_by: Sequence[str] = (),
-        sort_by: Sequence[str] = (),
+        cluster_by: Sequence[str] = (),
     ) -> DataFrame:
         """Write (replacing what is there) and return the table read back.
 
-        With ``partition_by`` rows are first rebalanced by those columns: AQE
-        cuts a partition that holds too much and joins small ones, so that one
-        hot value does not become one task or one file. ``sort_by`` orders the
-        rows of each file, which lets readers skip row groups.
+        ``cluster_by`` cuts the rows into ranges of those columns, one per task
+        and file, and sorts each: rows that belong together lie together, and
+        readers skip what is out of range. Ranges are balanced as long as the
+        columns identify a row, however hot the first of them is; AQE joins
+        neighbouring ranges of a small table. The first of them must order rows
+        as ``partition_by`` does, so that a file spans few partitions.
         """
         self._open.pop(name, None)
         out = df
-        if partition_by:
-            out = out.hint("rebalance", *partition_by)
-        if partition_by or sort_by:
-            out = out.sortWithinPartitions(*partition_by, *sort_by)
+        if cluster_by:
+            out = out.repartitionByRange(*cluster_by)
+            out = out.sortWithinPartitions(*partition_by, *cluster_by)
         writer = out.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)

@@ -32,6 +32,17 @@ def test_staged_views(spark, wh):
     assert spark.sql("select count(*) as n from stg_orders").first()["n"] == 4
 
 
+def test_moments_do_not_depend_on_the_session_zone(spark, wh):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        order = wh.stage("orders").filter("order_id = 'o1'").first()
+        assert str(order["ingestion_timestamp"]) == "2018-11-01 00:00:00"
+        assert str(order["order_purchase_timestamp"]) == "2017-01-01 10:30:00"
+        assert wh.plan("dim_date").filter("date_key = 20170312").first()["day_name"] == "Sunday"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_dim_date(spark, wh):
     days = wh["dim_date"]
     assert days.count() == 1096 + 1
@@ -176,6 +187,30 @@ def test_build_only_if_missing(spark, raw_folder, wh, tmp_path):
     assert rows(fresh["dim_products"]) == rows(wh["dim_products"])
 
 
+def test_a_hot_order_is_spread_over_files(spark, work):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        lines = spark.range(0, 6000, 1, 4).select(
+            F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("order_id"),
+            F.col("id").alias("line"),
+            F.when(F.col("id") % 3 == 0, 20170101).otherwise(20170101 + F.col("id") % 300).alias("day"),
+            F.lit(2017).alias("year"),
+        )
+        out = work.write("hot", lines, ["year"], ["day", "order_id", "line"])
+        files = out.withColumn("file", F.input_file_name())
+        hot = files.filter("order_id = -1").groupBy("file").count().collect()
+        assert len(hot) > 1 and sum(r["count"] for r in hot) == 2000
+        assert out.count() == 6000
+        # Every other order lies in one file.
+        spread = files.filter("order_id <> -1").groupBy("order_id").agg(F.countDistinct("file").alias("n"))
+        assert spread.filter("n > 1").count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_unknown_table_is_an_error(wh):
     with pytest.raises(KeyError):
         wh["dim_moon"]
