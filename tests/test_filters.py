@@ -125,3 +125,19 @@ def test_empty_kpis_are_zero(wh):
     nothing = sales.kpi_sales(wh, Filters(categories=())).first()
     assert tuple(nothing) == (0.0, 0, 0.0)
     assert filters.item_view(wh, Filters(categories=()), ["price"]).agg(F.count("*")).first()[0] == 0
+
+
+def test_orders_are_grouped_before_they_are_filtered(spark, wh):
+    """Raw lines are not shuffled by order just to be filtered and then grouped."""
+    from tallyhouse.plans import shipping
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = shipping.freight_share_vs_review(wh, Filters(categories=("toys",)))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        below = plan[plan.index("LeftSemi") :]
+        assert plan.count("LeftSemi") == 1  # the items' side; the reviews meet it in the join
+        assert below.index("partial_sum(price") < below.index("FileScan")
+        assert out.count() == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -73,3 +73,17 @@ def test_hot_values_are_counted_in_full(spark, hot):
     )
     repeated = rows(quality.repeated_values({"t": df}, {"t": ["k"]}))
     assert repeated == ([("t", "k", "7", 3000)] if hot else [])
+
+
+def test_large_parents_meet_counted_keys_not_rows(spark):
+    """Without a broadcast the anti join comes after the counting, not before."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        child = spark.range(1000).select((F.col("id") % 7).alias("a"), (F.col("id") % 3).alias("b"))
+        parents = {"p": spark.range(5).select("id"), "q": spark.range(3).select("id")}
+        found = quality.orphans({"c": child}, {"c": {"a": ("p", "id"), "b": ("q", "id")}}, parents.get)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("LeftAnti") < plan.index("HashAggregate") < plan.index("Generate")
+        assert rows(found) == [("c", "a", 5, 143), ("c", "a", 6, 142)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
