@@ -53,7 +53,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{scratch(df.sparkSession, name)}/rows"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Remove stored tables that nothing reads any more."""
+    for df in frames:
+        folder = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder.getParent(), True)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

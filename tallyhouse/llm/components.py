@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import stored
+from tallyhouse.llm.common import release, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -30,7 +30,9 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "u").select(
             F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")
         ).select("e.*").filter("u != v").distinct()
-        current = stored(small, "small")
+        following = stored(small, "small")
+        release(current, large)
+        current = following
         mark = current.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if mark == seen:
             break

@@ -17,18 +17,21 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import small, stored
+from tallyhouse.llm.common import release, small, stored
 from tallyhouse.llm.components import components
 
 # Frequent shingles that the order knows, at most; 8 bytes each in every task.
 HOT_SHINGLES = 250_000
-BITMAP_LONGS = 8
+# Longs of the short bitmap; the full one grows with the set, by powers of two.
+BRIEF = 8
 CHUNK = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -144,6 +147,13 @@ def _longs(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))
 
 
+def _bitmap(tokens: np.ndarray, width: int) -> np.ndarray:
+    """Hashed bits of a set. Both halves put together are the bitmap of half the width."""
+    bits = np.zeros(width, dtype=np.uint8)
+    bits[(tokens >> np.uint64(7)) % np.uint64(width)] = 1
+    return np.packbits(bits).view(np.uint64)
+
+
 def _signed(docs: DataFrame, k: int, percent: int, hot: np.ndarray) -> DataFrame:
     """Per row: doc_id, n, the set as 128 bits (k1, k2), its bitmap, and its join keys."""
     shared = docs.sparkSession.sparkContext.broadcast((np.sort(hot), np.argsort(hot)))
@@ -152,14 +162,13 @@ def _signed(docs: DataFrame, k: int, percent: int, hot: np.ndarray) -> DataFrame
         hot_tokens, hot_rank = shared.value
         for batch in batches:
             for rows, sets in _of_batch(batch, k):
-                n, k1, k2, maps, keys = [], [], [], [], []
+                n, k1, k2, maps, briefs, keys = [], [], [], [], [], []
                 for tokens in sets:
                     n.append(len(tokens))
                     k1.append(np.bitwise_xor.reduce(_stir(tokens + np.uint64(11))) if len(tokens) else 0)
                     k2.append(_stir(tokens ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64) if len(tokens) else 0)
-                    bits = np.zeros(64 * BITMAP_LONGS, dtype=np.uint8)
-                    bits[(tokens >> np.uint64(7)) % np.uint64(64 * BITMAP_LONGS)] = 1
-                    maps.append(np.packbits(bits).view(np.uint64))
+                    briefs.append(_bitmap(tokens, 64 * BRIEF))
+                    maps.append(_bitmap(tokens, max(64 * BRIEF, 2 << len(tokens).bit_length())))
                     keys.append(_keys(tokens, percent, hot_tokens, hot_rank))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -168,14 +177,16 @@ def _signed(docs: DataFrame, k: int, percent: int, hot: np.ndarray) -> DataFrame
                         pa.array(np.array(k1, np.uint64).view(np.int64)),
                         pa.array(np.array(k2, np.uint64).view(np.int64)),
                         _longs(maps),
+                        _longs(briefs),
                         _longs(keys),
                     ],
-                    names=["doc_id", "n", "k1", "k2", "bitmap", "keys"],
+                    names=["doc_id", "n", "k1", "k2", "bitmap", "brief", "keys"],
                 )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(
-        sign, "doc_id long, n long, k1 long, k2 long, bitmap array<long>, keys array<long>"
+        sign,
+        "doc_id long, n long, k1 long, k2 long, bitmap array<long>, brief array<long>, keys array<long>",
     )
 
 
@@ -199,46 +210,89 @@ def _keys(tokens: np.ndarray, percent: int, hot_tokens: np.ndarray, hot_rank: np
     return np.concatenate([_stir(first ^ np.uint64(0x51ED270B9F * (t + 1))) for t in tiles])
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, signed: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: bounded by size and bitmap, then intersected."""
-    own = signed.select("doc_id", "n", "bitmap")
+def _packed(tokens: np.ndarray) -> bytes:
+    """The upper 40 bits of sorted hashes; that is ample to tell the words of two texts apart."""
+    upper = tokens >> np.uint64(24)
+    return (upper >> np.uint64(8)).astype(np.uint32).tobytes() + (upper & np.uint64(255)).astype(np.uint8).tobytes()
+
+
+def _unpacked(value) -> np.ndarray:
+    raw = np.frombuffer(value.as_buffer(), dtype=np.uint8)
+    n = len(raw) // 5
+    return raw[: 4 * n].view(np.uint32).astype(np.uint64) << np.uint64(8) | raw[4 * n :].astype(np.uint64)
+
+
+def _sizes_link(x: str, y: str, percent: int) -> Column:
+    return F.least(x, y) * 100 >= F.greatest(x, y) * percent
+
+
+def _may_differ(x: str, y: str, percent: int) -> Column:
+    """Elements by which two sets of these sizes that link can differ at most."""
+    both = F.col(x) + F.col(y)
+    return both - 2 * F.ceil(both * percent / (100 + percent) - F.lit(1e-9))
+
+
+def _halved(bitmap: str, width: Column) -> Column:
+    folded = F.zip_with(
+        F.slice(bitmap, F.lit(1), width), F.slice(bitmap, width + 1, width), lambda x, y: x.bitwiseOR(y)
+    )
+    return F.when(F.size(bitmap) > width, folded).otherwise(F.col(bitmap))
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, own: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link: bounded by size and bitmap, then intersected.
+
+    Only sets that stand in a pair are made again from their texts, and each is sent
+    to its partners directly.
+    """
     left = own.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("bitmap").alias("ba"))
     right = own.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("bitmap").alias("bb"))
-    both = F.col("na") + F.col("nb")
-    needed = F.ceil(both * percent / (100 + percent) - F.lit(1e-9))
+    # Sizes that can link differ by less than two, so at most one fold makes them even.
+    width = F.least(F.size("ba"), F.size("bb"))
     differ = F.aggregate(
-        F.zip_with("ba", "bb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
+        F.zip_with(_halved("ba", width), _halved("bb", width), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+        F.lit(0),
+        lambda s, x: s + x,
     )
     kept = pairs.join(left, "a").join(right, "b").filter(
-        (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) & (differ <= both - 2 * needed)
+        _sizes_link("na", "nb", percent) & (differ <= _may_differ("na", "nb", percent))
     )
     kept = stored(kept.select("a", "b"), "bounded")
-    ids = stored(kept.select(F.col("a").alias("doc_id")).union(kept.select("b")).distinct(), "ids")
+    firsts = stored(kept.select(F.col("a").alias("doc_id")).distinct(), "firsts")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def sets_of(batches):
         for batch in batches:
             for rows, sets in _of_batch(batch, k):
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(pa.array(rows)), pa.array([s.tobytes() for s in sets], pa.binary())],
-                    names=["doc_id", "set"],
+                    [batch.column("a").take(pa.array(rows)), batch.column("b").take(pa.array(rows)),
+                     pa.array([_packed(s) for s in sets], pa.binary())],
+                    names=["a", "b", "set"],
                 )
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(small(ids), "doc_id", "left_semi")
-    sets = stored(texts.mapInArrow(sets_of, "doc_id long, set binary"), "sets")
+    schema = "a long, b array<long>, set binary"
+    seconds = kept.groupBy("b").agg(F.collect_list("a").alias("partners"))
+    seconds = stored(seconds.withColumnRenamed("b", "doc_id"), "seconds")
+    of_first = texts.join(small(firsts), "doc_id").select(F.col("doc_id").alias("a"), F.lit(None).cast("array<long>").alias("b"), "text")
+    of_first = of_first.mapInArrow(sets_of, schema).select("a", F.col("set").alias("sa"))
+    of_second = texts.join(small(seconds), "doc_id").select(F.col("doc_id").alias("a"), F.col("partners").alias("b"), "text")
+    of_second = of_second.mapInArrow(sets_of, schema).select(
+        F.explode("b").alias("a"), F.col("a").alias("b"), F.col("set").alias("sb")
+    )
 
     def intersect(batches):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("sa"), batch.column("sb")):
-                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
+                x, y = _unpacked(x), _unpacked(y)
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(bool(100 * common >= percent * (len(x) + len(y) - common)))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    with_sets = kept.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("sa")), "a").join(
-        sets.select(F.col("doc_id").alias("b"), F.col("set").alias("sb")), "b"
-    )
-    return stored(with_sets.select("a", "b", "sa", "sb").mapInArrow(intersect, "a long, b long"), "links")
+    with_sets = of_second.join(of_first, "a")
+    links = stored(with_sets.select("a", "b", "sa", "sb").mapInArrow(intersect, "a long, b long"), "links")
+    release(kept, firsts, seconds)
+    return links
 
 
 def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
@@ -255,55 +309,56 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
         signed.filter("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "classes"
     )
     reps = classes.filter("rep is not null").select(F.col("rep").alias("doc_id"), "k1", "k2")
-    signed_reps = stored(
-        signed.join(reps, ["doc_id", "k1", "k2"], "left_semi").select("doc_id", "n", "bitmap", "keys"), "reps"
-    )
+    signed_reps = signed.join(small(reps), ["doc_id", "k1", "k2"], "left_semi")
+    own = stored(signed_reps.select("doc_id", "n", "bitmap", "brief"), "own")
     members = signed_reps.select("doc_id", F.explode("keys").alias("key"))
-    groups = (
-        members.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-        .filter("c > 1")
+    groups = stored(
+        members.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("lo")).filter("c > 1"), "groups"
     )
     members = stored(members.join(groups, "key"), "members")
-    pair = F.struct(F.least("doc_id", "end").alias("a"), F.greatest("doc_id", "end").alias("b"))
-    pairs = (
-        members.select("doc_id", F.explode(F.array("lo", "hi")).alias("end"))
-        .filter("doc_id != end")
-        .select(pair.alias("p"))
-        .select("p.*")
-        .distinct()
+    pairs = stored(
+        members.filter("doc_id != lo").select(F.col("lo").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs"
     )
-    links = _verified(docs, stored(pairs, "pairs"), signed_reps, k, percent)
+    links = _verified(docs, pairs, own, k, percent)
     known = components(links)
 
-    open_members = members.filter("c > 3").select("key", "doc_id")
+    open_members = members.filter("c > 2").select("key", "doc_id")
     of = F.coalesce("component", "doc_id").alias("component")
     open_members = stored(
         open_members.join(known, open_members["doc_id"] == known["node"], "left").select("key", "doc_id", of), "open"
     )
-    mixed = (
+    mixed = stored(
         open_members.groupBy("key")
         .agg(F.min("component").alias("x"), F.max("component").alias("y"))
         .filter("x != y")
-        .select("key")
+        .select("key"),
+        "mixed",
+    )
+    rest = stored(
+        open_members.join(mixed, "key", "left_semi").join(own.select("doc_id", "n", "brief"), "doc_id"), "rest"
+    )
+    names = {"doc_id": "b", "component": "cb", "n": "nb", "brief": "other_brief"}
+    other = rest.select("key", *[F.col(c).alias(name) for c, name in names.items()])
+    differ = reduce(
+        add, [F.bit_count(F.get("brief", F.lit(i)).bitwiseXOR(F.get("other_brief", F.lit(i)))) for i in range(BRIEF)]
     )
-    sizes = signed_reps.select("doc_id", "n")
-    rest = stored(open_members.join(mixed, "key", "left_semi").join(sizes, "doc_id"), "mixed")
-    other = rest.select("key", F.col("doc_id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
     more = (
         rest.join(other, "key")
         .filter(
             (F.col("doc_id") < F.col("b"))
             & (F.col("component") != F.col("cb"))
-            & (F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent)
+            & _sizes_link("n", "nb", percent)
+            & (differ <= _may_differ("n", "nb", percent))
         )
         .select(F.col("doc_id").alias("a"), "b")
         .distinct()
     )
     more = stored(more.join(pairs, ["a", "b"], "left_anti"), "more")
     if not more.isEmpty():
-        links = links.unionByName(_verified(docs, more, signed_reps, k, percent))
-        known = components(links)
+        added = _verified(docs, more, own, k, percent)
+        known = components(links.unionByName(added))
+        release(added)
+    release(own, groups, members, pairs, links, open_members, mixed, rest, more)
 
     of_class = classes.join(known, classes["rep"] == known["node"], "left").select(
         "k1", "k2", F.coalesce("component", "rep").alias("component_id")
