@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.common import (
     BROADCAST_ROWS,
     lower_az,
+    release,
     same_key,
     small,
     stored,
@@ -125,11 +126,13 @@ def decontaminate(
     texts = texts.select("doc_id", "_text", _words(lower_az(F.col("text"))).alias("_words"))
     at = _with_windows(texts, lengths, span, k).select(*KEY, F.inline("_at"))
     distinct = windows.select("len", "fp", "a", "b").distinct()
+    each = stored(distinct, "distinct")
     hits = stored(
-        at.join(small(stored(distinct, "distinct"), broadcast_rows), ["len", "fp", "a", "b"])
+        at.join(small(each, broadcast_rows), ["len", "fp", "a", "b"])
         .select(*KEY, "pos", "len", "a", "b"),
         "hits",
     )
+    release(each, lowered)
     covered = hits.groupBy(*KEY).agg(F.collect_set(F.struct("pos", "len")).alias("runs"))
     covered = covered.select(
         *KEY,

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import same_key, stored, text_key, with_spans
+from tallyhouse.llm.common import release, same_key, stored, text_key, with_spans
 
 KEY = ["doc_id", "_text"]
 
@@ -44,14 +44,16 @@ def dedup_lines(docs: DataFrame, lines: int = 3) -> DataFrame:
     ).filter("run.full").select(*KEY, "pos", "run.a", "run.b")
     runs = stored(runs, "runs")
     here = F.struct("doc_id", "_text", "pos")
-    first = (
+    first = stored(
         runs.groupBy("a", "b")
         .agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
-        .drop("n")
+        .drop("n"),
+        "first",
     )
     later = runs.join(first, ["a", "b"]).filter(~here.eqNullSafe(F.col("first")))
-    covered = later.groupBy(*KEY).agg(F.collect_set("pos").alias("runs"))
+    covered = stored(later.groupBy(*KEY).agg(F.collect_set("pos").alias("runs")), "covered")
+    release(runs, first)
 
     joined = docs.join(covered, same_key(docs, covered, KEY), "left").select(docs["*"], "runs")
     joined = joined.withColumn("_lines", F.split("text", "\n", -1))
