@@ -31,7 +31,7 @@ from tallyhouse.llm.components import components
 # Frequent shingles that the order knows, at most; 8 bytes each in every task.
 HOT_SHINGLES = 250_000
 # Longs of the short bitmap; the full one grows with the set, by powers of two.
-BRIEF = 8
+BRIEF = 32
 CHUNK = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
