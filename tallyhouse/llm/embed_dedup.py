@@ -1,7 +1,7 @@
 """Near-duplicate embeddings through a pivot-permutation index.
 
-Reference vectors (pivots) are drawn from the data by hash; there are about sqrt(n) of
-them, so lists stay short as the data grows. Every vector is described by its nearest
+Reference vectors (pivots) are drawn from the data by hash, none close to another; there
+are about sqrt(n) of them, so lists stay short as the data grows. Every vector is described by its nearest
 pivots in order, and stands in the inverted list of each pair of them: two vectors in
 one list share at least two pivots. Lists are cut into blocks and pairs of blocks are
 compared by exact cosine, so a hot list is many tasks of bounded size. A pair that is
@@ -58,6 +58,20 @@ def _matrix(column) -> np.ndarray:
     return np.stack(rows) if rows else np.zeros((0, 0))
 
 
+def _apart(drawn: np.ndarray, wanted: int) -> np.ndarray:
+    """Pivots no two of which have a cosine of 0.5 or more, first drawn first.
+
+    Several pivots inside one dense group would be nearest in a random order for each of
+    its members, which would then share too few of them.
+    """
+    free, chosen = np.ones(len(drawn), dtype=bool), []
+    for i in range(len(drawn)):
+        if free[i] and len(chosen) < wanted:
+            chosen.append(i)
+            free &= drawn @ drawn[i] < 0.5
+    return drawn[chosen]
+
+
 def link_embeddings(vectors: DataFrame, least: float = 0.9, nearest: int = NEAREST) -> DataFrame:
     """Per row: vec_id, n_links, component_id, kept.
 
@@ -79,12 +93,12 @@ def link_embeddings(vectors: DataFrame, least: float = 0.9, nearest: int = NEARE
     )
     total = classes.count()
     wanted = int(min(PIVOTS[1], max(PIVOTS[0], round(total**0.5))))
-    drawn = classes.orderBy(F.xxhash64(F.lit(SEED), "rep"), "rep").limit(wanted).select("unit").toArrow()
+    drawn = classes.orderBy(F.xxhash64(F.lit(SEED), "rep"), "rep").limit(4 * wanted).select("unit").toArrow()
     by_size: dict[int, np.ndarray] = {}
     for u in drawn.column("unit"):
         v = np.frombuffer(u.as_buffer(), dtype=np.float64)
         by_size.setdefault(len(v), []).append(v)
-    pivots = spark.sparkContext.broadcast({n: np.stack(v) for n, v in by_size.items()})
+    pivots = spark.sparkContext.broadcast({n: _apart(np.stack(v), wanted) for n, v in by_size.items()})
 
     def describe(batches):
         for batch in batches:
