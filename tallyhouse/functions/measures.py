@@ -30,12 +30,15 @@ MEASURES = {
     "review_score": NON_ADDITIVE,
     "response_hours": NON_ADDITIVE,
     "comment_length": NON_ADDITIVE,
+    "purchase_hour": NON_ADDITIVE,
 }
 
 
 def total(name: str) -> Column:
-    """Sum of a measure; refused where a sum has no meaning."""
-    if MEASURES.get(name) == NON_ADDITIVE:
+    """Sum of a measure; refused where a sum has no meaning, or the name is unknown."""
+    if name not in MEASURES:
+        raise ValueError(f"{name} is not a measure")
+    if MEASURES[name] == NON_ADDITIVE:
         raise ValueError(f"{name} is {NON_ADDITIVE}: average it, do not sum it")
     return F.sum(F.col(name))
 

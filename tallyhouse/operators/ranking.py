@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -87,7 +88,8 @@ def ordered_slices(
         .sortWithinPartitions(*order)
         .withColumn("_id", F.monotonically_increasing_id())
     )
-    rows = folder.write(name, cut).select(
+    # A folder of its own for each call: an earlier frame may not have been read yet.
+    rows = folder.write(f"{name}-{uuid.uuid4().hex}", cut).select(
         *[F.col(c) for c in df.columns],
         F.shiftright("_id", _PLACE_BITS).alias("_slice"),
         F.col("_id").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias("_place"),

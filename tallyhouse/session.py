@@ -44,7 +44,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not sc.master.startswith("local"):
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: name a folder every executor can reach"
         )

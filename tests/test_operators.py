@@ -167,3 +167,11 @@ def test_a_hot_key_in_a_large_join_is_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_two_rankings_of_one_name_can_be_read_in_any_order(spark, work):
+    frames = [
+        ranking.global_rank(spark.range(n), [F.col("id")], work, "same") for n in (5, 9)
+    ]
+    assert [frames[1].count(), frames[0].count()] == [9, 5]
+    assert [frames[0].agg(F.max("rank")).first()[0], frames[1].agg(F.max("rank")).first()[0]] == [5, 9]

@@ -127,3 +127,9 @@ def test_flag_of_unknown_is_zero(spark):
 
 def test_snapshot_time_is_fixed():
     assert fixed.SNAPSHOT_TIME == datetime(2018, 11, 1)
+
+
+def test_only_known_measures_are_summed():
+    for name in ("purchase_hour", "no_such_measure"):
+        with pytest.raises(ValueError):
+            M.total(name)
