@@ -16,8 +16,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache, reduce
 from operator import add
 
 import numpy as np
@@ -30,8 +31,9 @@ from tallyhouse.llm.components import components
 
 # Frequent shingles that the order knows, at most; 8 bytes each in every task.
 HOT_SHINGLES = 250_000
-# Longs of the short bitmap; the full one grows with the set, by powers of two.
+# Longs of a piece of a bitmap; the whole one grows with the set, by powers of two.
 BRIEF = 32
+TILE_BITS = 10
 CHUNK = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -154,6 +156,28 @@ def _bitmap(tokens: np.ndarray, width: int) -> np.ndarray:
     return np.packbits(bits).view(np.uint64)
 
 
+def _longs_of(n: int) -> int:
+    """Longs of the bitmap of a set of ``n``: two to four bits for each element."""
+    return max(BRIEF, (2 << n.bit_length()) // 64)
+
+
+def _piece(percent: int) -> Column:
+    """The piece of ``bitmap`` that ``key`` looks at, the same for all sets under a key.
+
+    A long set is too dense for a short bitmap. A piece of its long one holds only the
+    elements of one part of the hash range, and what differs there is at most what
+    differs at all. The bitmap is folded to the width of the tile's least set first.
+    """
+    widths = F.array(*[F.lit(_longs_of(n)) for n in _tile_bounds(percent)])
+    width = F.get(widths, F.col("key").bitwiseAND(F.lit((1 << TILE_BITS) - 1)).cast("int"))
+    part = F.pmod(F.shiftright("key", TILE_BITS), (width / BRIEF).cast("long")).cast("int")
+    start = part * BRIEF + 1
+    folded = F.zip_with(
+        F.slice("bitmap", start, F.lit(BRIEF)), F.slice("bitmap", start + width, F.lit(BRIEF)), lambda x, y: x.bitwiseOR(y)
+    )
+    return F.when(F.size("bitmap") > width, folded).otherwise(F.slice("bitmap", start, F.lit(BRIEF)))
+
+
 def _signed(docs: DataFrame, k: int, percent: int, hot: np.ndarray) -> DataFrame:
     """Per row: doc_id, n, the set as 128 bits (k1, k2), its bitmap, and its join keys."""
     shared = docs.sparkSession.sparkContext.broadcast((np.sort(hot), np.argsort(hot)))
@@ -162,13 +186,12 @@ def _signed(docs: DataFrame, k: int, percent: int, hot: np.ndarray) -> DataFrame
         hot_tokens, hot_rank = shared.value
         for batch in batches:
             for rows, sets in _of_batch(batch, k):
-                n, k1, k2, maps, briefs, keys = [], [], [], [], [], []
+                n, k1, k2, maps, keys = [], [], [], [], []
                 for tokens in sets:
                     n.append(len(tokens))
                     k1.append(np.bitwise_xor.reduce(_stir(tokens + np.uint64(11))) if len(tokens) else 0)
                     k2.append(_stir(tokens ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64) if len(tokens) else 0)
-                    briefs.append(_bitmap(tokens, 64 * BRIEF))
-                    maps.append(_bitmap(tokens, max(64 * BRIEF, 2 << len(tokens).bit_length())))
+                    maps.append(_bitmap(tokens, 64 * _longs_of(len(tokens))))
                     keys.append(_keys(tokens, percent, hot_tokens, hot_rank))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -177,19 +200,28 @@ def _signed(docs: DataFrame, k: int, percent: int, hot: np.ndarray) -> DataFrame
                         pa.array(np.array(k1, np.uint64).view(np.int64)),
                         pa.array(np.array(k2, np.uint64).view(np.int64)),
                         _longs(maps),
-                        _longs(briefs),
                         _longs(keys),
                     ],
-                    names=["doc_id", "n", "k1", "k2", "bitmap", "brief", "keys"],
+                    names=["doc_id", "n", "k1", "k2", "bitmap", "keys"],
                 )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(
         sign,
-        "doc_id long, n long, k1 long, k2 long, bitmap array<long>, brief array<long>, keys array<long>",
+        "doc_id long, n long, k1 long, k2 long, bitmap array<long>, keys array<long>",
     )
 
 
+@cache
+def _tile_bounds(percent: int) -> list[int]:
+    """The least size of each tile. A tile is two size ratios wide, so about half of the
+    sets can link with the tile below, and none beyond it."""
+    bounds = [1]
+    while bounds[-1] < 1 << 31:
+        bounds.append(max(bounds[-1] + 1, -(-bounds[-1] * 10_000 // percent**2)))
+    return bounds
+
+
 def _keys(tokens: np.ndarray, percent: int, hot_tokens: np.ndarray, hot_rank: np.ndarray) -> np.ndarray:
     """The first shingles of a set in the global order, under each of its tiles."""
     n = len(tokens)
@@ -204,10 +236,13 @@ def _keys(tokens: np.ndarray, percent: int, hot_tokens: np.ndarray, hot_rank: np
     if len(first) < length:
         last = tokens[frequent][np.argsort(hot_rank[at[frequent]], kind="stable")]
         first = np.concatenate((first, last[: length - len(first)]))
-    tile = n.bit_length() - 1
-    # The largest set of the tile below has 2**tile - 1 shingles.
-    tiles = [tile, tile - 1] if tile and percent * n <= 100 * ((1 << tile) - 1) else [tile]
-    return np.concatenate([_stir(first ^ np.uint64(0x51ED270B9F * (t + 1))) for t in tiles])
+    least = _tile_bounds(percent)
+    tile = bisect_right(least, n) - 1
+    # Sets of the tile below are smaller than the smallest of this one.
+    tiles = [tile, tile - 1] if tile and percent * n <= 100 * (least[tile] - 1) else [tile]
+    # The lowest bits of a key name its tile.
+    keys = [_stir(first ^ np.uint64(0x51ED270B9F * (t + 1))) for t in tiles]
+    return np.concatenate([(x << np.uint64(TILE_BITS)) | np.uint64(t) for x, t in zip(keys, tiles)])
 
 
 def _packed(tokens: np.ndarray) -> bytes:
@@ -310,15 +345,14 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     )
     reps = classes.filter("rep is not null").select(F.col("rep").alias("doc_id"), "k1", "k2")
     signed_reps = signed.join(small(reps), ["doc_id", "k1", "k2"], "left_semi")
-    own = stored(signed_reps.select("doc_id", "n", "bitmap", "brief"), "own")
-    members = signed_reps.select("doc_id", F.explode("keys").alias("key"))
-    groups = stored(
-        members.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("lo")).filter("c > 1"), "groups"
-    )
+    own = stored(signed_reps.select("doc_id", "n", "bitmap"), "own")
+    members = signed_reps.select("doc_id", "n", F.explode("keys").alias("key"))
+    lo = F.min(F.struct("doc_id", "n")).alias("lo")
+    groups = stored(members.groupBy("key").agg(F.count(F.lit(1)).alias("c"), lo).filter("c > 1"), "groups")
     members = stored(members.join(groups, "key"), "members")
-    pairs = stored(
-        members.filter("doc_id != lo").select(F.col("lo").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs"
-    )
+    # Sizes go with the members, so that no bitmap is sent for a pair they rule out.
+    pairs = members.filter((F.col("doc_id") != F.col("lo.doc_id")) & _sizes_link("n", "lo.n", percent))
+    pairs = stored(pairs.select(F.col("lo.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs")
     links = _verified(docs, pairs, own, k, percent)
     known = components(links)
 
@@ -334,23 +368,23 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
         .select("key"),
         "mixed",
     )
-    rest = stored(
-        open_members.join(mixed, "key", "left_semi").join(own.select("doc_id", "n", "brief"), "doc_id"), "rest"
-    )
-    names = {"doc_id": "b", "component": "cb", "n": "nb", "brief": "other_brief"}
-    other = rest.select("key", *[F.col(c).alias(name) for c, name in names.items()])
+    rest = open_members.join(mixed, "key", "left_semi").join(own, "doc_id")
+    rest = stored(rest.select("key", "doc_id", "component", "n", _piece(percent).alias("brief")), "rest")
+    # Both sides are the same columns of one frame, so it is shuffled once.
+    x, y = rest.alias("x"), rest.alias("y")
     differ = reduce(
-        add, [F.bit_count(F.get("brief", F.lit(i)).bitwiseXOR(F.get("other_brief", F.lit(i)))) for i in range(BRIEF)]
+        add, [F.bit_count(F.get("x.brief", F.lit(i)).bitwiseXOR(F.get("y.brief", F.lit(i)))) for i in range(BRIEF)]
     )
     more = (
-        rest.join(other, "key")
-        .filter(
-            (F.col("doc_id") < F.col("b"))
-            & (F.col("component") != F.col("cb"))
-            & _sizes_link("n", "nb", percent)
-            & (differ <= _may_differ("n", "nb", percent))
+        x.join(
+            y,
+            (F.col("x.key") == F.col("y.key"))
+            & (F.col("x.doc_id") < F.col("y.doc_id"))
+            & (F.col("x.component") != F.col("y.component"))
+            & _sizes_link("x.n", "y.n", percent)
+            & (differ <= _may_differ("x.n", "y.n", percent)),
         )
-        .select(F.col("doc_id").alias("a"), "b")
+        .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
         .distinct()
     )
     more = stored(more.join(pairs, ["a", "b"], "left_anti"), "more")
