@@ -101,7 +101,11 @@ def kpi_sales(wh: Warehouse, filters: Filters = Filters()) -> DataFrame:
 
 
 def monthly_revenue(wh: Warehouse) -> DataFrame:
-    """Revenue per month and growth over the month before, in percent."""
+    """Revenue per month and growth over the month before, in percent.
+
+    Every month from the first to the last one with sales has a row: one without
+    sales has revenue 0, and after it there is no growth to state.
+    """
     monthly = (
         items_by(wh, None, ("year_month",))
         .filter(F.col("year_month") != "Unknown")
@@ -109,9 +113,16 @@ def monthly_revenue(wh: Warehouse) -> DataFrame:
         .agg(M.total("price").alias("revenue"))
     )
     # One row per month of the calendar: small enough for one ordered window.
+    month = F.to_date(F.concat("year_month", F.lit("-01")))
+    span = monthly.agg(F.min(month).alias("first"), F.max(month).alias("last")).filter("first is not null")
+    months = span.select(F.explode(F.expr("sequence(first, last, interval 1 month)")).alias("first_day"))
+    months = months.select(F.date_format("first_day", "yyyy-MM").alias("year_month"))
+    filled = months.join(monthly, "year_month", "left").select(
+        "year_month", F.coalesce("revenue", F.lit(0)).alias("revenue")
+    )
     before = F.lag("revenue").over(Window.orderBy("year_month"))
     growth = S.ratio((F.col("revenue") - before) * 100, before)
-    return monthly.select(
+    return filled.select(
         "year_month",
         as_money(F.col("revenue")).alias("revenue"),
         F.round(growth, 2).alias("growth_pct"),

@@ -141,6 +141,9 @@ def test_monthly_growth(wh):
     assert rows(sales.monthly_revenue(wh)) == [
         ("2017-01", 200.0, None),
         ("2017-02", 0.0, -100.0),
+        *[(f"2017-{m:02d}", 0.0, None) for m in range(3, 13)],
+        ("2018-01", 0.0, None),
+        ("2018-02", 0.0, None),
         ("2018-03", 50.0, None),
     ]
 
