@@ -155,7 +155,7 @@ def global_rank(
 def dense_key(df: DataFrame, business_key: str, name: str, folder: TableFolder, table: str) -> DataFrame:
     """Surrogate key 1..n in the order of a unique business key."""
     ranked = global_rank(df, [F.col(business_key).asc_nulls_last()], folder, table, rank=name)
-    return ranked.select(F.col(name).cast("int").alias(name), *df.columns)
+    return ranked.select(F.col(name).cast("bigint").alias(name), *df.columns)
 
 
 def tile_of_rank(rank: Column, rows: Column, tiles: int) -> Column:

@@ -188,23 +188,23 @@ CTES: dict[str, str] = {
                lat, lng
         from (select zip, avg(lat) as lat, avg(lng) as lng from raw_points group by zip) z""",
     "dim_geography": f"""
-        select cast(row_number() over (order by zip) as integer) as geography_key, zip as zip_code_prefix,
+        select row_number() over (order by zip) as geography_key, zip as zip_code_prefix,
                city, state, {_REGION} as region, lat as latitude, lng as longitude
         from zip_names
         union all select -1, -1, 'unknown', 'XX', 'Unknown', null, null""",
     "dim_customers": """
-        select cast(row_number() over (order by customer_id) as integer) as customer_key, customer_id,
+        select row_number() over (order by customer_id) as customer_key, customer_id,
                person as customer_unique_id, zip as zip_code_prefix,
                coalesce(g.geography_key, -1) as geography_key, c.city, c.state
         from raw_customers c left join dim_geography g on g.zip_code_prefix = c.zip
         union all select -1, 'unknown', 'unknown', null, -1, 'unknown', 'XX'""",
     "dim_sellers": """
-        select cast(row_number() over (order by seller_id) as integer) as seller_key, seller_id,
+        select row_number() over (order by seller_id) as seller_key, seller_id,
                zip as zip_code_prefix, coalesce(g.geography_key, -1) as geography_key, s.city, s.state
         from raw_sellers s left join dim_geography g on g.zip_code_prefix = s.zip
         union all select -1, 'unknown', null, -1, 'unknown', 'XX'""",
     "dim_products": """
-        select cast(row_number() over (order by product_id) as integer) as product_key, product_id,
+        select row_number() over (order by product_id) as product_key, product_id,
                coalesce(english, word, 'unknown') as category, coalesce(word, 'unknown') as category_pt,
                cast(photos_qty as integer) as photos_qty, cast(name_length as integer) as name_length,
                cast(description_length as integer) as description_length,
@@ -219,7 +219,7 @@ CTES: dict[str, str] = {
         union all
         select -1, 'unknown', 'unknown', 'unknown', null, null, null, null, null, null, null, null, 'Unknown'""",
     "dim_order_status": f"""
-        select cast(row_number() over (order by status) as integer) as order_status_key,
+        select row_number() over (order by status) as order_status_key,
                status as order_status, {choose('status', fixed.STATUS_LABELS, 'status')} as status_label,
                status = 'delivered' as is_delivered,
                status = 'canceled' or status = 'unavailable' as is_cancelled,
@@ -227,7 +227,7 @@ CTES: dict[str, str] = {
         from (select distinct status from raw_orders)
         union all select -1, 'unknown', 'Unknown', false, false, 9""",
     "dim_payment_type": f"""
-        select cast(row_number() over (order by payment_type) as integer) as payment_type_key,
+        select row_number() over (order by payment_type) as payment_type_key,
                payment_type,
                {choose('payment_type', fixed.PAYMENT_LABELS, "replace(payment_type, '_', ' ')")}
                    as payment_label,

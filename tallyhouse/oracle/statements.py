@@ -318,7 +318,7 @@ _PLAIN: dict[str, str] = {
               from lineitem)
         where k = 1""",
     "e02_dense_key": """
-        select cast(row_number() over (order by cast(o_orderkey as varchar)) as integer) as order_key,
+        select row_number() over (order by cast(o_orderkey as varchar)) as order_key,
                cast(o_orderkey as varchar) as order_id from orders""",
     "e05_share_of_group": f"""
         select o_orderpriority, o_orderstatus, orders, {r('share', 6)} as share
@@ -405,8 +405,12 @@ _PLAIN: dict[str, str] = {
                {r('cast((revenue - before) * 100 as double) / nullif(cast(before as double), 0)', 2)}
                    as growth_pct
         from (select *, lag(revenue) over (order by year_month) as before
-              from (select year_month, sum(price) as revenue from sold
-                    where year_month <> 'Unknown' group by 1))""",
+              from (select d.year_month, coalesce(sum(s.price), 0) as revenue
+                    from dim_date d left join sold s on s.purchase_date_key = d.date_key
+                    where d.full_date between
+                          (select date_trunc('month', min(full_date)) from sold) and
+                          (select last_day(max(full_date)) from sold)
+                    group by 1))""",
     "p02_top_categories": f"""
         select category, {money('sum(price)')} as revenue, count(*) as items from sold
         group by 1 order by sum(price) desc, category limit 10""",

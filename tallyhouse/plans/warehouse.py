@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import date, datetime
@@ -28,6 +29,11 @@ class Warehouse:
     A table is built when it is first asked for, or all of them by ``build``.
     Written tables end the lineage and give Spark true sizes, from which it
     chooses between broadcast and shuffle joins.
+
+    Each build has a folder of its own, order header and slices included, and is
+    published by one marker when all ten tables are there. Readers see the newest
+    published build or, where there is none, what this object has built so far.
+    So tables of two builds are never mixed, and a failed build changes nothing.
     """
 
     def __init__(
@@ -44,8 +50,10 @@ class Warehouse:
         self.first_day = first_day
         self.last_day = last_day
         self.snapshot_time = snapshot_time
-        self.tables = TableFolder(spark, f"{folder}/tables")
-        self.work = TableFolder(spark, f"{folder}/work")
+        self.folder = TableFolder(spark, folder)
+        self.work = self.folder.below("work")
+        self._draft: TableFolder | None = None
+        self._read: dict[str, TableFolder] = {}
 
     def stage(self, name: str) -> DataFrame:
         """A staged raw table, not materialised."""
@@ -54,34 +62,50 @@ class Warehouse:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in schemas.WAREHOUSE_TABLES:
             raise KeyError(name)
-        if not self.tables.exists(name):
-            self._write(name)
-        return self.tables.read(name)
+        published = self.folder.marks("published")
+        if not published:
+            return self._drafted(name)
+        newest = published[-1]
+        if newest not in self._read:
+            self._read[newest] = self.folder.below(newest)
+        return self._read[newest].read(name)
+
+    def _new_draft(self) -> TableFolder:
+        self._draft = self.folder.below(f"build-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}")
+        return self._draft
+
+    def _drafted(self, name: str) -> DataFrame:
+        """A table of the build at hand, written if it is not yet there."""
+        draft = self._draft or self._new_draft()
+        if not draft.exists(name):
+            self._write(draft, name)
+        return draft.read(name)
 
     def _header(self) -> DataFrame:
-        if not self.work.exists("order_header"):
+        kept = (self._draft or self._new_draft()).below("work")
+        if not kept.exists("order_header"):
             header = facts.order_header(
                 self.stage("orders"),
-                self["dim_customers"],
-                self["dim_geography"],
-                self["dim_order_status"],
+                self._drafted("dim_customers"),
+                self._drafted("dim_geography"),
+                self._drafted("dim_order_status"),
                 self.first_day,
                 self.last_day,
             )
-            self.work.write("order_header", header)
-        return self.work.read("order_header")
+            kept.write("order_header", header)
+        return kept.read("order_header")
 
     def plan(self, name: str) -> DataFrame:
-        """The rows of one table, before they are written."""
-        stage, slices = self.stage, self.work
+        """The rows of one table of the build at hand, before they are written."""
+        stage, slices = self.stage, (self._draft or self._new_draft()).below("work")
         plans: dict[str, Callable[[], DataFrame]] = {
             "dim_date": lambda: dims.dim_date(self.spark, self.first_day, self.last_day),
             "dim_geography": lambda: dims.dim_geography(stage("geolocation"), slices),
             "dim_customers": lambda: dims.dim_customers(
-                stage("customers"), self["dim_geography"], slices
+                stage("customers"), self._drafted("dim_geography"), slices
             ),
             "dim_sellers": lambda: dims.dim_sellers(
-                stage("sellers"), self["dim_geography"], slices
+                stage("sellers"), self._drafted("dim_geography"), slices
             ),
             "dim_products": lambda: dims.dim_products(
                 stage("products"), stage("category_translation"), slices
@@ -91,12 +115,12 @@ class Warehouse:
             "fact_order_items": lambda: facts.fact_order_items(
                 stage("order_items"),
                 self._header(),
-                self["dim_products"],
-                self["dim_sellers"],
-                self["dim_geography"],
+                self._drafted("dim_products"),
+                self._drafted("dim_sellers"),
+                self._drafted("dim_geography"),
             ),
             "fact_order_payments": lambda: facts.fact_order_payments(
-                stage("order_payments"), self._header(), self["dim_payment_type"]
+                stage("order_payments"), self._header(), self._drafted("dim_payment_type")
             ),
             "fact_order_reviews": lambda: facts.fact_order_reviews(
                 stage("order_reviews"), self._header(), self.first_day, self.last_day
@@ -104,36 +128,54 @@ class Warehouse:
         }
         return plans[name]()
 
-    def _write(self, name: str) -> None:
+    def _write(self, draft: TableFolder, name: str) -> None:
         rows = self.plan(name)
         if name in schemas.FACTS:
             # By day, then order, then line: a date range reads few files, and
             # the lines of an order meet in one task, where they are summed
             # before any shuffle. The whole grain splits even a hot order.
-            self.tables.write(
+            draft.write(
                 name,
                 rows,
                 partition_by=["purchase_year"],
                 cluster_by=["purchase_date_key", "order_id", *schemas.LINE_OF_ORDER[name]],
             )
         else:
-            self.tables.write(name, rows)
+            draft.write(name, rows)
 
     def ready(self) -> bool:
-        """True when all ten tables are there."""
-        return all(self.tables.exists(name) for name in schemas.WAREHOUSE_TABLES)
+        """True when a build with all ten tables has been published."""
+        return bool(self.folder.marks("published"))
 
     def build(self, if_missing: bool = True) -> BuildReport:
-        """Build in dependency order; by default only what is missing."""
+        """Build in dependency order and publish; by default only if nothing is.
+
+        What fails is reported, not raised, and leaves the published build as it was.
+        """
         if if_missing and self.ready():
             return BuildReport(True, ())
         log = []
-        if not if_missing:
-            self.work = TableFolder(self.spark, f"{self.work.path}-{time.time_ns()}")
+        draft = self._draft if if_missing and self._draft else self._new_draft()
         for name in schemas.WAREHOUSE_TABLES:
-            if if_missing and self.tables.exists(name):
+            if draft.exists(name):
                 continue
             began = time.monotonic()
-            self._write(name)
+            try:
+                self._drafted(name)
+            except Exception as fault:
+                self._draft = None
+                draft.remove()
+                return BuildReport(False, (*log, f"{name}: failed, {fault}"))
             log.append(f"{name}: built in {time.monotonic() - began:.1f} s")
-        return BuildReport(self.ready(), tuple(log))
+        self._publish(draft)
+        return BuildReport(True, tuple(log))
+
+    def _publish(self, draft: TableFolder) -> None:
+        """Make the build the one to be read; the one before stays for its readers."""
+        draft.below("work").remove()
+        self.folder.mark("published", draft.path.rsplit("/", 1)[-1])
+        self._draft = None
+        for name in self.folder.marks("published")[:-2]:
+            self.folder.below("published").below(name).remove()
+            self.folder.below(name).remove()
+            self._read.pop(name, None)

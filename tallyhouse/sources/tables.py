@@ -27,10 +27,31 @@ class TableFolder:
         """True once a write of the table has been committed."""
         if name in self._open:
             return True
-        jvm = self.spark.sparkContext._jvm
-        marker = jvm.org.apache.hadoop.fs.Path(f"{self.path_of(name)}/_SUCCESS")
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        return marker.getFileSystem(conf).exists(marker)
+        files, marker = self._file(f"{self.path_of(name)}/_SUCCESS")
+        return files.exists(marker)
+
+    def _file(self, path: str):
+        """The file system of a path, and the path as it wants it."""
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), place
+
+    def mark(self, kind: str, name: str) -> None:
+        """Leave an empty file ``name``; it is there at once or not at all."""
+        files, place = self._file(f"{self.path_of(kind)}/{name}")
+        files.create(place, False).close()
+
+    def marks(self, kind: str) -> list[str]:
+        """The names marked so far, in order."""
+        files, place = self._file(self.path_of(kind))
+        if not files.exists(place):
+            return []
+        return sorted(s.getPath().getName() for s in files.listStatus(place))
+
+    def remove(self) -> None:
+        """Delete the folder and all that is in it."""
+        self._open.clear()
+        files, place = self._file(self.path)
+        files.delete(place, True)
 
     def write(
         self,

@@ -187,6 +187,30 @@ def test_build_only_if_missing(spark, raw_folder, wh, tmp_path):
     assert rows(fresh["dim_products"]) == rows(wh["dim_products"])
 
 
+@pytest.mark.parametrize("broken", ["dim_geography", "dim_payment_type", "fact_order_items", "fact_order_reviews"])
+def test_a_failed_rebuild_leaves_the_old_warehouse(spark, raw_folder, tmp_path, broken):
+    sources = dict(csv_sources(spark, f"{raw_folder}/{{name}}.csv"))
+    old = Warehouse(spark, sources, str(tmp_path))
+    assert old.build().ok
+    before = rows(old["fact_order_items"], "order_id", "order_item_id", "customer_key")
+    customers = sources["customers"]
+    first = spark.createDataFrame([("c0", "u0", "01037", "x", "SP")], customers().schema)
+    changed = Warehouse(spark, {**sources, "customers": lambda: customers().unionByName(first)}, str(tmp_path))
+    plan = changed.plan
+    changed.plan = lambda name: 1 / 0 if name == broken else plan(name)
+    report = changed.build(if_missing=False)
+    assert not report.ok and report.log[-1].startswith(broken)
+    for seen in (old, changed, Warehouse(spark, sources, str(tmp_path))):
+        assert seen.ready() and seen.build().log == ()
+        assert rows(seen["fact_order_items"], "order_id", "order_item_id", "customer_key") == before
+        assert seen["dim_customers"].count() == 4
+    changed.plan = plan
+    assert changed.build(if_missing=False).ok
+    assert old["dim_customers"].count() == 5 and [p.name for p in tmp_path.rglob("work")] == []
+    keys = {r.customer_key: r.customer_id for r in old["dim_customers"].collect()}
+    assert {r.order_id: keys[r.customer_key] for r in old["fact_order_items"].collect()}["o1"] == "c1"
+
+
 def test_a_hot_order_is_spread_over_files(spark, work):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "8")
@@ -227,7 +251,7 @@ def test_catalog(spark, wh, tmp_path):
     assert counts["fact_order_items"] == 6 and counts["dim_products"] == 5
     assert counts["(all tables)"] == sum(v for k, v in counts.items() if k != "(all tables)")
     described = rows(catalog.describe(wh["dim_sellers"]))
-    assert described[0] == (1, "seller_key", "int") and len(described) == 6
+    assert described[0] == (1, "seller_key", "bigint") and len(described) == 6
     assert catalog.preview(wh["fact_order_items"], 2).count() == 2
     assert catalog.to_client(wh["dim_sellers"], ready=False).empty
     assert len(catalog.to_client(wh["dim_sellers"])) == 3
