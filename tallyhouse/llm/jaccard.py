@@ -10,8 +10,9 @@
    bound on the overlap from hashed bitmaps (bits that differ are elements that differ)
    and the sizes throws out most pairs, and the rest is decided by an exact intersection.
 4. Only where a tile and shingle still holds different components are its remaining
-   pairs between components looked at, in the same way. Pairs inside a component cannot
-   change it, so a large group of copies is never expanded into all its pairs.
+   pairs between components looked at, in the same way, and of several shingles with
+   the same members only one is. Pairs inside a component cannot change it, so a large
+   group of copies is never expanded into all its pairs.
 """
 
 from __future__ import annotations
@@ -361,12 +362,20 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     open_members = stored(
         open_members.join(known, open_members["doc_id"] == known["node"], "left").select("key", "doc_id", of), "open"
     )
+    # Long texts with a common passage share very many keys; keys with the same members
+    # have the same pairs, so one of them is enough. Sums of halves do not overflow.
+    h = F.xxhash64("doc_id")
+    same_members = ["c", "xor", "low", "high"]
+    by_key = open_members.groupBy("key").agg(
+        F.min("component").alias("x"),
+        F.max("component").alias("y"),
+        F.count(F.lit(1)).alias("c"),
+        F.bit_xor(F.xxhash64(F.lit(3), "doc_id")).alias("xor"),
+        F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"),
+        F.sum(F.shiftrightunsigned(h, 32)).alias("high"),
+    )
     mixed = stored(
-        open_members.groupBy("key")
-        .agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        .filter("x != y")
-        .select("key"),
-        "mixed",
+        by_key.filter("x != y").groupBy(*same_members).agg(F.min("key").alias("key")).select("key"), "mixed"
     )
     rest = open_members.join(mixed, "key", "left_semi").join(own, "doc_id")
     rest = stored(rest.select("key", "doc_id", "component", "n", _piece(percent).alias("brief")), "rest")
