@@ -338,12 +338,12 @@ CTES: dict[str, str] = {
         select c.customer_unique_id as person, count(distinct f.order_id) as frequency,
                sum(f.price) as monetary, max(f.purchase_date_key) as last_day
         from fact_order_items f join dim_customers c on c.customer_key = f.customer_key
-        group by 1""",
+        where c.customer_unique_id <> 'unknown' group by 1""",
     "by_seller": """
         select seller_key, sum(price) as revenue,
                row_number() over (order by sum(price) desc, seller_key) as k,
                count(*) over () as sellers
-        from fact_order_items group by seller_key""",
+        from fact_order_items where seller_key >= 0 group by seller_key""",
 }
 
 

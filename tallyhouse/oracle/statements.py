@@ -425,6 +425,16 @@ _PLAIN: dict[str, str] = {
         select case when frequency >= {registry.REPEAT_FROM} then 'repeat' else 'one-time' end
                    as customer_type, count(*) as people, {money('sum(monetary)')} as revenue
         from people group by 1""",
+    "p05t_repeat_customers_from_two": f"""
+        select case when frequency >= 2 then 'repeat' else 'one-time' end as customer_type,
+               count(*) as people, {money('sum(monetary)')} as revenue
+        from people group by 1""",
+    "p05u_unattributed_revenue": f"""
+        select count(*) filter (customer_key < 0) as lines_without_customer,
+               {money('coalesce(sum(price) filter (customer_key < 0), 0)')} as revenue_without_customer,
+               count(*) filter (seller_key < 0) as lines_without_seller,
+               {money('coalesce(sum(price) filter (seller_key < 0), 0)')} as revenue_without_seller
+        from fact_order_items""",
     "p06_rfm_segments": f"""
         select tile as monetary_tile, count(*) as people, max(last_day) as last_purchase_key,
                {mean('frequency', 2)} as avg_frequency, {money('sum(monetary)')} as revenue,
@@ -475,6 +485,12 @@ _PLAIN: dict[str, str] = {
         (select 'best' as side, * from category_means order by avg_review_score desc, category limit 8)
         union all
         (select 'worst' as side, * from category_means order by avg_review_score, category limit 8)""",
+    "p15t_review_by_category_of_fifty": """
+        (select 'best' as side, * from category_means where orders >= 50
+         order by avg_review_score desc, category limit 8)
+        union all
+        (select 'worst' as side, * from category_means where orders >= 50
+         order by avg_review_score, category limit 8)""",
     "p16_distance_vs_review": _score_by(
         """(select order_id, max(buyer_seller_distance_km) as km from fact_order_items
             where buyer_seller_distance_km is not null group by 1) d join scored using (order_id)""",

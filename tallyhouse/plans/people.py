@@ -20,11 +20,13 @@ from tallyhouse.sources.tables import TableFolder
 def _per_person(wh: Warehouse) -> DataFrame:
     """Orders, revenue and last purchase per person, not per customer id.
 
+    Lines whose customer is unresolved belong to nobody; see ``unattributed_revenue``.
     Summed per order and customer id before the customers are looked up: the
     join then moves orders, and a person with very many lines is small.
     """
     per_order = (
         wh["fact_order_items"]
+        .filter(F.col("customer_key") != fixed.UNKNOWN_KEY)
         .groupBy("order_id", "customer_key")
         .agg(M.total("price").alias("price"), F.max("purchase_date_key").alias("day"))
     )
@@ -77,8 +79,22 @@ def rfm_segments(wh: Warehouse, work: TableFolder, tiles: int = 5) -> DataFrame:
     ).orderBy("monetary_tile")
 
 
+def unattributed_revenue(wh: Warehouse) -> DataFrame:
+    """Lines and revenue whose customer or seller is unresolved, and so in no ranking here."""
+    no_buyer = F.col("customer_key") == fixed.UNKNOWN_KEY
+    no_seller = F.col("seller_key") == fixed.UNKNOWN_KEY
+    return wh["fact_order_items"].agg(
+        F.count(F.when(no_buyer, 1)).alias("lines_without_customer"),
+        as_money(F.coalesce(F.sum(F.when(no_buyer, F.col("price"))), F.lit(0))).alias("revenue_without_customer"),
+        F.count(F.when(no_seller, 1)).alias("lines_without_seller"),
+        as_money(F.coalesce(F.sum(F.when(no_seller, F.col("price"))), F.lit(0))).alias("revenue_without_seller"),
+    )
+
+
 def _seller_revenue(wh: Warehouse) -> DataFrame:
-    return wh["fact_order_items"].groupBy("seller_key").agg(M.total("price").alias("revenue"))
+    """Revenue per known seller; the Unknown member takes no rank."""
+    known = wh["fact_order_items"].filter(F.col("seller_key") != fixed.UNKNOWN_KEY)
+    return known.groupBy("seller_key").agg(M.total("price").alias("revenue"))
 
 
 def seller_running_share(wh: Warehouse, work: TableFolder) -> DataFrame:

@@ -444,6 +444,8 @@ QUERIES |= {
     "p03_revenue_by_region": _on_warehouse(sales.revenue_by_region),
     "p04_avg_price_by_category": _on_warehouse(sales.average_price_by_category),
     "p05_repeat_customers": _on_warehouse(people.repeat_customers, repeat_from=REPEAT_FROM),
+    "p05t_repeat_customers_from_two": _on_warehouse(people.repeat_customers, repeat_from=2),
+    "p05u_unattributed_revenue": _on_warehouse(people.unattributed_revenue),
     "p06_rfm_segments": _with_work(people.rfm_segments, "p06"),
     "p07_delivery_kpis": _on_warehouse(shipping.delivery_kpis),
     "p08_processing_by_seller_state": _on_warehouse(shipping.processing_by_seller_state),
@@ -454,6 +456,7 @@ QUERIES |= {
     "p13_basket_vs_paid": _on_warehouse(ordering.basket_vs_paid),
     "p14_score_distribution": _on_warehouse(people.score_distribution),
     "p15_review_by_category": _on_warehouse(people.review_by_category, min_orders=10),
+    "p15t_review_by_category_of_fifty": _on_warehouse(people.review_by_category, min_orders=50),
     "p16_distance_vs_review": _on_warehouse(shipping.distance_vs_review),
     "p17_freight_pct_by_category": _on_warehouse(shipping.freight_share_by_category),
     "p18_seller_pareto": _with_work(people.seller_pareto, "p18"),

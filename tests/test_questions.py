@@ -116,19 +116,29 @@ def test_quarter_mix(wh):
 
 def test_repeat_customers_are_people(wh):
     # u1 bought through two customer ids and so is one repeat customer.
-    assert rows(people.repeat_customers(wh)) == [("one-time", 1, 60.0), ("repeat", 2, 270.0)]
+    # The order without a known customer is nobody's.
+    assert rows(people.repeat_customers(wh)) == [("repeat", 2, 270.0)]
+
+
+def test_unresolved_lines_are_reported_apart(wh):
+    (row,) = people.unattributed_revenue(wh).collect()
+    assert row["revenue_without_customer"] == 60.0
+    fact = wh["fact_order_items"]
+    assert row["lines_without_customer"] == fact.filter("customer_key = -1").count()
+    assert row["lines_without_seller"] == fact.filter("seller_key = -1").count() > 0
 
 
 def test_seller_pareto_rounds_the_number_of_sellers_up(wh, work):
     shares = rows(people.seller_pareto(wh, work), "top_pct", "sellers", "revenue")
     assert shares == [(1, 1, 160.0), (5, 1, 160.0), (10, 1, 160.0), (20, 1, 160.0)]
     running = rows(people.seller_running_share(wh, work), "seller_rank", "running_revenue")
-    assert running == [(1, 160.0), (2, 310.0), (3, 330.0)]
+    # Lines without a known seller (20.00) take no rank.
+    assert running == [(1, 160.0), (2, 310.0)]
 
 
 def test_rfm_shares_add_up(wh, work):
     segments = people.rfm_segments(wh, work).collect()
-    assert sum(s["people"] for s in segments) == 3
+    assert sum(s["people"] for s in segments) == 2
     assert sum(s["share_pct"] for s in segments) == pytest.approx(100, abs=0.05)
 
 
