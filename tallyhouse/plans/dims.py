@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse import fixed_values as fixed
 from tallyhouse.functions import scalars as S
-from tallyhouse.operators.ranking import dense_key
+from tallyhouse.operators.ranking import dense_key, most_frequent
 from tallyhouse.operators.rows import dedup, resolve_fk, with_unknown
 from tallyhouse.sources.tables import TableFolder
 
@@ -53,18 +53,25 @@ def dim_date(spark: SparkSession, first: date, last: date) -> DataFrame:
 def points_per_zip(geolocation: DataFrame) -> DataFrame:
     """One row per zip: mean point, most frequent city and state.
 
-    ``mode`` keeps counts per distinct name, not rows, and is combined before
-    the shuffle, so a zip with very many points is no burden. Ties between
-    equally frequent names go to the smallest one.
+    Names are counted per zip before the most frequent is chosen, so neither a zip with
+    very many points nor the group of all zips that are not numbers (NULL) gathers its
+    names in one task's memory. Ties between equally frequent names go to the smallest
+    one; a zip that has no names stays.
     """
-    return geolocation.groupBy(
-        F.col("geolocation_zip_code_prefix").try_cast("int").alias("zip_code_prefix")
-    ).agg(
-        F.mode(S.tidy_city(F.col("geolocation_city")), deterministic=True).alias("city"),
-        F.mode(S.tidy_state(F.col("geolocation_state")), deterministic=True).alias("state"),
-        F.avg("geolocation_lat").alias("latitude"),
-        F.avg("geolocation_lng").alias("longitude"),
-    )
+    points = geolocation.select(
+        F.col("geolocation_zip_code_prefix").try_cast("int").alias("zip_code_prefix"),
+        S.tidy_city(F.col("geolocation_city")).alias("city"),
+        S.tidy_state(F.col("geolocation_state")).alias("state"),
+        F.col("geolocation_lat").alias("latitude"),
+        F.col("geolocation_lng").alias("longitude"),
+    )
+    out = points.groupBy("zip_code_prefix").agg(
+        F.avg("latitude").alias("latitude"), F.avg("longitude").alias("longitude")
+    )
+    for name in ("city", "state"):
+        usual = most_frequent(points, ["zip_code_prefix"], name, name).withColumnRenamed("zip_code_prefix", "_zip")
+        out = out.join(usual, F.col("zip_code_prefix").eqNullSafe(F.col("_zip")), "left").drop("_zip")
+    return out.select("zip_code_prefix", "city", "state", "latitude", "longitude")
 
 
 def dim_geography(geolocation: DataFrame, slices: TableFolder) -> DataFrame:
