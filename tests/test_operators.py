@@ -175,3 +175,18 @@ def test_two_rankings_of_one_name_can_be_read_in_any_order(spark, work):
     ]
     assert [frames[1].count(), frames[0].count()] == [9, 5]
     assert [frames[0].agg(F.max("rank")).first()[0], frames[1].agg(F.max("rank")).first()[0]] == [5, 9]
+
+
+def test_zips_that_are_no_numbers_gather_no_names_in_one_buffer(spark):
+    from tallyhouse.plans.dims import points_per_zip
+
+    schema = (
+        "geolocation_zip_code_prefix string, geolocation_lat double, geolocation_lng double, "
+        "geolocation_city string, geolocation_state string"
+    )
+    odd = [(f"x{i}", 1.0, 2.0, f"town {i:04d}", "SP") for i in range(2000)]
+    plain = [("7", 3.0, 4.0, "b", "RJ"), ("7", 5.0, 6.0, "a", "RJ"), ("8", 1.0, 1.0, None, None)]
+    out = points_per_zip(spark.createDataFrame(odd + plain, schema))
+    assert "mode(" not in out._jdf.queryExecution().toString()
+    found = {r["zip_code_prefix"]: (r["city"], r["state"], r["latitude"]) for r in out.collect()}
+    assert found == {None: ("town 0000", "SP", 1.0), 7: ("a", "RJ", 4.0), 8: (None, None, 1.0)}
