@@ -231,6 +231,21 @@ def test_passages_of_different_documents_are_found(spark, corpus):
     assert passages.shared_passages(frame(spark, corpus).limit(0)).count() == 0
 
 
+def test_passages_around_different_text_are_found(spark):
+    rng = random.Random(51)
+    head, foot, middle = words(rng, 60), words(rng, 60), words(rng, 60)
+    for gaps in ((60, 60), (31, 31), (200, 200), (0, 90)):
+        a, b = (words(rng, 20) + head + words(rng, n) + foot + words(rng, 20) for n in gaps)
+        got = passages.shared_passages(frame(spark, [(1, " ".join(a), "en", "a"), (2, " ".join(b), "en", "a")]))
+        at = {(r.start_word, r.end_word, r.ref_start_word, r.ref_end_word) for r in got.collect()}
+        assert at == {(20, 80, 20, 80), (80 + gaps[1], 140 + gaps[1], 80 + gaps[0], 140 + gaps[0])}
+    # Sixty words in common, then sixty in which seeds survive but every second word group differs.
+    poor = [w if p % 12 < 7 else f"x{p}" for p, w in enumerate(middle)]
+    texts = [(1, " ".join(head + middle), "en", "a"), (2, " ".join(head + poor), "en", "a")]
+    spans = [(r.start_word, r.end_word) for r in passages.shared_passages(frame(spark, texts)).collect()]
+    assert spans and spans[0][0] == 0 and spans[0][1] >= 60
+
+
 def test_chains_against_brute_force():
     rng = random.Random(5)
     for _ in range(40):
