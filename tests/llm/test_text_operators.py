@@ -246,6 +246,24 @@ def test_passages_around_different_text_are_found(spark):
     assert spans and spans[0][0] == 0 and spans[0][1] >= 60
 
 
+def test_a_passage_that_earlier_documents_hold_in_part_is_found(spark):
+    rng = random.Random(52)
+    passage = words(rng, 60)
+
+    def around(part):
+        return " ".join(words(rng, 15) + part + words(rng, 15))
+
+    texts = [passage[:42], passage[18:], passage, passage[:45], passage[16:], passage]
+    rows = [(i, around(t), "en", "a") for i, t in enumerate(texts, 1)]
+    # The first place in document 20 holds the beginning only.
+    other = words(rng, 60)
+    rows += [(20, around(other[:40] + words(rng, 400) + other[25:] + words(rng, 400) + other), "en", "a")]
+    rows += [(21, around(other), "en", "a")]
+    got = passages.shared_passages(frame(spark, rows)).collect()
+    at = {(r.doc_id, r.start_word, r.end_word, r.ref_doc_id, r.ref_start_word, r.n_matched) for r in got}
+    assert {(6, 15, 75, 3, 15, 60), (21, 15, 75, 20, 15 + 40 + 400 + 35 + 400, 60)} <= at
+
+
 def test_chains_against_brute_force():
     rng = random.Random(5)
     for _ in range(40):
