@@ -264,6 +264,25 @@ def test_a_passage_that_earlier_documents_hold_in_part_is_found(spark):
     assert {(6, 15, 75, 3, 15, 60), (21, 15, 75, 20, 15 + 40 + 400 + 35 + 400, 60)} <= at
 
 
+def test_recall_of_fuzzy_passages(spark):
+    rng = random.Random(53)
+    rows, planted = [], {}
+    for share in (0.95, 0.9, 0.85, 0.8):
+        for _ in range(60):
+            passage, a, b = words(rng, 60), len(rows), len(rows) + 1
+            changed = list(passage)
+            for p in rng.sample(range(60), round(60 * (1 - share))):
+                changed[p] = words(rng, 1)[0] + "zz"
+            # By brute force the pair shares a passage: the planted one, word by word.
+            assert sum(v == w for v, w in zip(passage, changed)) >= share * 60
+            for i, own in ((a, passage), (b, changed)):
+                rows.append((i, " ".join(words(rng, 30) + own + words(rng, 30)), "en", "a"))
+            planted[b] = share
+    got = {r.doc_id for r in passages.shared_passages(frame(spark, rows)).collect() if r.ref_doc_id == r.doc_id - 1}
+    recall = {s: sum(b in got for b, t in planted.items() if t == s) / 60 for s in set(planted.values())}
+    assert recall[0.95] == 1.0 and recall[0.9] >= 0.98 and recall[0.85] >= 0.95 and recall[0.8] >= 0.9, recall
+
+
 def test_chains_against_brute_force():
     rng = random.Random(5)
     for _ in range(40):
