@@ -417,6 +417,31 @@ def test_embedding_links_reach_the_wanted_recall(spark):
     assert embed_dedup.link_embeddings(df.limit(0)).count() == 0
 
 
+def test_embedding_recall_holds_with_many_pivots(spark):
+    rng = np.random.default_rng(91)
+    x = rng.normal(size=(2500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = rng.normal(size=x.shape)
+    y -= (y * x).sum(1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    both = np.concatenate([x, 0.902 * x + (1 - 0.902**2) ** 0.5 * y])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(both)], "vec_id long, embedding array<double>")
+    got = embed_dedup.link_embeddings(df, bounds=(2048, 4096)).agg({"n_links": "sum"}).first()[0]
+    truth = int((both @ both.T >= 0.9).sum()) - len(both)
+    assert 0.95 * truth <= got <= truth
+
+
+@pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables here")
+@pytest.mark.parametrize("bounds", [embed_dedup.PIVOTS, (1024, 4096)])
+def test_embedding_recall_on_the_whole_table(spark, bounds):
+    df = spark.read.parquet(f"{FOLDER}/embeddings.parquet")
+    x = np.array([r.embedding for r in df.select("embedding").collect()], dtype=np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    truth = int((x @ x.T >= 0.9).sum()) - len(x)
+    got = embed_dedup.link_embeddings(df, bounds=bounds).agg({"n_links": "sum"}).first()[0]
+    assert 0.95 * truth <= got <= truth
+
+
 # 10 ------------------------------------------------------------------------------------------------
 
 
