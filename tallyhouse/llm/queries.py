@@ -12,10 +12,13 @@ from tallyhouse.llm import (
     jaccard,
     lang_id,
     line_dedup,
+    merkle,
     mixing,
     passages,
+    pii,
     toxicity,
     url_filter,
+    whitening,
 )
 from tallyhouse.llm.common import read
 
@@ -63,6 +66,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(read(spark, sf_dir, "documents")))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(read(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_html": op1_html,
     "op2_decontaminate": op2_decontaminate,
@@ -74,6 +89,9 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_embeddings": op9_embeddings,
     "op10_mixing": op10_mixing,
+    "op11_pii": op11_pii,
+    "op12_merkle": op12_merkle,
+    "op13_whitening": op13_whitening,
 }
 
 SQL = {
