@@ -13,23 +13,42 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.common import release, same_key, stored, text_key, with_spans
 
 KEY = ["doc_id", "_text"]
+# Bits of a map per document in it, and the most bits sent to every task (8 MB).
+SPARSE = 16
+MOST_BITS = 1 << 26
 
 
-def dedup_lines(docs: DataFrame, lines: int = 3) -> DataFrame:
-    """Per document: doc_id, ``_text``, n_lines, n_removed and the text that is left.
+def _touched(docs: DataFrame, covered: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` (with ``_text``) that surely have nothing in ``covered``, and the rest.
 
-    Lines end at a line feed and count only if equal in every character. A run of
-    blank lines is no window, and a text of fewer than ``lines`` lines has none. Null
-    texts stay null with 0 lines. A null doc_id comes first in the order. Rows equal
-    in doc_id and text are one document written several times: all get what it gets.
-    The first occurrence is found by a minimum that is taken inside tasks before it
-    is shuffled, and the join back to it is a plain equi join, which Spark splits
-    where one window is hot.
+    One bit per hashed ``_text``, sixteen times as many as are set: only about one in
+    sixteen of the documents without repeated lines is taken for one with them, and only
+    the rest is shuffled. A map too large to be sent is not used; then all are the rest.
     """
-    docs = docs.select("doc_id", "text", text_key(F.col("text")).alias("_text"))
-    split = docs.dropDuplicates(KEY).filter(F.col("text").isNotNull()).select(
-        *KEY, F.split("text", "\n", -1).alias("_lines")
+    n = covered.count()
+    bits = 1 << max(15, (SPARSE * n).bit_length())
+    if bits > MOST_BITS:
+        return docs.limit(0), docs
+    place = F.pmod(F.xxhash64(F.lit(5), "_text"), F.lit(bits))
+    marks = stored(
+        covered.select(place.alias("p"))
+        .groupBy(F.bitmap_bucket_number("p").alias("_bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("_bits")),
+        "marks",
     )
+    at = F.bitmap_bit_position(place)
+    byte = F.substring("_bits", (at / 8).cast("int") + 1, 1)
+    found = F.conv(F.hex(byte), 16, 10).cast("int").bitwiseAND(F.call_function("shiftleft", F.lit(1), (at % 8).cast("int"))) != 0
+    tested = docs.join(F.broadcast(marks), F.bitmap_bucket_number(place) == F.col("_bucket"), "left")
+    tested = tested.withColumn("_found", F.coalesce(found, F.lit(False)))
+    return tested.filter("not _found").select(*docs.columns), tested.filter("_found").select(*docs.columns)
+
+
+def _with_left(docs: DataFrame, lines: int) -> DataFrame:
+    """Per row of ``docs``: the row, ``_text``, ``_n_lines``, ``_n_removed`` and ``_left`` (null if all is)."""
+    docs = docs.select(F.struct("*").alias("_row"), "doc_id", "text", text_key(F.col("text")).alias("_text"))
+    # Rows written several times give equal runs, which count as one occurrence below.
+    split = docs.filter(F.col("text").isNotNull()).select(*KEY, F.split("text", "\n", -1).alias("_lines"))
     hashed = split.withColumn("_h", F.transform("_lines", lambda x: F.xxhash64(x)))
     hashed = hashed.withColumn("_g", F.transform("_lines", lambda x: F.xxhash64(F.lit(7), x)))
     hashed = hashed.withColumn("_w", F.transform("_lines", lambda x: F.trim(x) != ""))
@@ -46,32 +65,53 @@ def dedup_lines(docs: DataFrame, lines: int = 3) -> DataFrame:
     here = F.struct("doc_id", "_text", "pos")
     first = stored(
         runs.groupBy("a", "b")
-        .agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
-        .drop("n"),
+        .agg(F.min(here).alias("first"), F.max(here).alias("last"))
+        .filter("first != last")
+        .drop("last"),
         "first",
     )
     later = runs.join(first, ["a", "b"]).filter(~here.eqNullSafe(F.col("first")))
     covered = stored(later.groupBy(*KEY).agg(F.collect_set("pos").alias("runs")), "covered")
     release(runs, first)
 
-    joined = docs.join(covered, same_key(docs, covered, KEY), "left").select(docs["*"], "runs")
+    whole, rest = _touched(docs, covered)
+    # The same join at every size: what is left of the texts is seldom small.
+    joined = rest.join(covered.hint("merge"), same_key(rest, covered, KEY), "left").select(rest["*"], "runs")
+    joined = whole.withColumn("runs", F.lit(None).cast("array<int>")).unionByName(joined)
     joined = joined.withColumn("_lines", F.split("text", "\n", -1))
     n_lines = F.coalesce(F.size("_lines"), F.lit(0))
-    removed = F.flatten(
-        F.transform("runs", lambda p: F.sequence(p, p + (lines - 1)))
-    )
+    removed = F.flatten(F.transform("runs", lambda p: F.sequence(p, p + (lines - 1))))
     places = F.sequence(F.lit(0), F.size("_lines") - 1)
     joined = joined.withColumn("_kept", F.when(F.col("runs").isNotNull(), F.array_except(places, removed)))
     left = F.array_join(F.transform("_kept", lambda i: F.get("_lines", i)), "\n")
+    untouched = F.col("runs").isNull()
     return joined.select(
-        *KEY,
-        n_lines.cast("long").alias("n_lines"),
-        F.when(F.col("runs").isNull(), F.lit(0))
-        .otherwise(n_lines - F.size("_kept"))
-        .cast("long")
-        .alias("n_removed"),
-        F.when(F.col("runs").isNull(), F.col("text")).otherwise(left).alias("text"),
+        "_row",
+        "_text",
+        n_lines.cast("long").alias("_n_lines"),
+        F.when(untouched, F.lit(0)).otherwise(n_lines - F.size("_kept")).cast("long").alias("_n_removed"),
+        F.when(~untouched, left).alias("_left"),
+    )
+
+
+def dedup_lines(docs: DataFrame, lines: int = 3) -> DataFrame:
+    """Per document: doc_id, ``_text``, n_lines, n_removed and the text that is left.
+
+    Lines end at a line feed and count only if equal in every character. A run of
+    blank lines is no window, and a text of fewer than ``lines`` lines has none. Null
+    texts stay null with 0 lines. A null doc_id comes first in the order. Rows equal
+    in doc_id and text are one document written several times: all get what it gets.
+    Texts are split whole, however long; an empty table gives no rows. The first
+    occurrence is found by a minimum that is taken inside tasks before it is shuffled,
+    and the join back to it is a plain equi join, which Spark splits where one window
+    is hot. Of the texts only those with lines to remove are shuffled.
+    """
+    return _with_left(docs.select("doc_id", "text"), lines).select(
+        F.col("_row.doc_id").alias("doc_id"),
+        "_text",
+        F.col("_n_lines").alias("n_lines"),
+        F.col("_n_removed").alias("n_removed"),
+        F.when(F.col("_n_removed") > 0, F.col("_left")).otherwise(F.col("_row.text")).alias("text"),
     )
 
 
@@ -80,20 +120,13 @@ def without_repeated_lines(docs: DataFrame, lines: int = 3) -> DataFrame:
 
     A document of which nothing is left is a copy of what others keep, and goes.
     """
-    left = dedup_lines(docs, lines).filter("n_removed > 0").dropDuplicates(KEY)
-    left = left.select(F.col("doc_id").alias("_id"), F.col("_text").alias("_key"), F.col("text").alias("_left"))
-    joined = docs.join(
-        left,
-        docs["doc_id"].eqNullSafe(left["_id"]) & text_key(docs["text"]).eqNullSafe(left["_key"]),
-        "left",
-    ).filter("_key is null or _left != ''")
-    changed = {"text": F.coalesce(left["_left"], docs["text"])}
+    left = _with_left(docs, lines).filter("_n_removed = 0 or _left != ''")
+    cut = F.col("_n_removed") > 0
+    changed = {"text": F.when(cut, F.col("_left")).otherwise(F.col("_row.text"))}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        changed["n_chars"] = F.when(left["_key"].isNull(), docs["n_chars"]).otherwise(
-            F.length(left["_left"]).cast(kind)
-        )
-    return joined.select(*[changed[c].alias(c) if c in changed else docs[c] for c in docs.columns])
+        changed["n_chars"] = F.when(cut, F.length("_left").cast(kind)).otherwise(F.col("_row.n_chars"))
+    return left.select(*[(changed[c] if c in changed else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
 
 
 SQL = r"""
