@@ -246,18 +246,6 @@ def _keys(tokens: np.ndarray, percent: int, hot_tokens: np.ndarray, hot_rank: np
     return np.concatenate([(x << np.uint64(TILE_BITS)) | np.uint64(t) for x, t in zip(keys, tiles)])
 
 
-def _packed(tokens: np.ndarray) -> bytes:
-    """The upper 40 bits of sorted hashes; that is ample to tell the words of two texts apart."""
-    upper = tokens >> np.uint64(24)
-    return (upper >> np.uint64(8)).astype(np.uint32).tobytes() + (upper & np.uint64(255)).astype(np.uint8).tobytes()
-
-
-def _unpacked(value) -> np.ndarray:
-    raw = np.frombuffer(value.as_buffer(), dtype=np.uint8)
-    n = len(raw) // 5
-    return raw[: 4 * n].view(np.uint32).astype(np.uint64) << np.uint64(8) | raw[4 * n :].astype(np.uint64)
-
-
 def _sizes_link(x: str, y: str, percent: int) -> Column:
     return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
@@ -302,7 +290,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, own: DataFrame, k: int, percent
             for rows, sets in _of_batch(batch, k):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("a").take(pa.array(rows)), batch.column("b").take(pa.array(rows)),
-                     pa.array([_packed(s) for s in sets], pa.binary())],
+                     pa.array([s.tobytes() for s in sets], pa.binary())],
                     names=["a", "b", "set"],
                 )
 
@@ -320,7 +308,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, own: DataFrame, k: int, percent
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("sa"), batch.column("sb")):
-                x, y = _unpacked(x), _unpacked(y)
+                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(bool(100 * common >= percent * (len(x) + len(y) - common)))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -350,7 +338,8 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     members = signed_reps.select("doc_id", "n", F.explode("keys").alias("key"))
     lo = F.min(F.struct("doc_id", "n")).alias("lo")
     groups = stored(members.groupBy("key").agg(F.count(F.lit(1)).alias("c"), lo).filter("c > 1"), "groups")
-    members = stored(members.join(groups, "key"), "members")
+    # The same join at every size: few keys are shared only where there are few texts.
+    members = stored(members.join(groups.hint("merge"), "key"), "members")
     # Sizes go with the members, so that no bitmap is sent for a pair they rule out.
     pairs = members.filter((F.col("doc_id") != F.col("lo.doc_id")) & _sizes_link("n", "lo.n", percent))
     pairs = stored(pairs.select(F.col("lo.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs")
