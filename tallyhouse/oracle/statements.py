@@ -244,6 +244,16 @@ _PLAIN: dict[str, str] = {
         from (select *, cast(date '1970-01-01' + cast(split_part(order_item_id, '|', 10) as integer)
                              as timestamp) as l_shipdate
               from raw_items)""",
+    "a01q_quoted_lines": "select * from documents",
+    "a01r_rejected_cells": """
+        select order_id, case when reasons = '' then day end as ordered_on,
+               case when reasons = '' then total end as total, nullif(reasons, '') as reasons
+        from (select o_orderkey as order_id, cast(o_orderdate as date) as day,
+                     round(cast(cast(o_totalprice as decimal(18,2)) as double), 2) as total,
+                     concat_ws('; ', case when o_orderkey % 97 = 5 then 'ordered_on is no date: soon' end,
+                               case when o_orderkey % 89 = 3 then 'total is no decimal(18,2): 1,5' end)
+                         as reasons
+              from orders)""",
     "a03_staged_orders": f"""
         select order_id, customer_id, status as order_status, purchased as order_purchase_timestamp,
                approved as order_approved_at, carrier as order_delivered_carrier_date,
@@ -569,6 +579,13 @@ _PLAIN: dict[str, str] = {
             from {t} group by {a}, {b} having count(*) > 1"""
         for t, (a, b) in quality.GRAINS.items()
     ),
+    "l06a_accounts": " union all ".join(
+        f"""select '{t}' as table_name, records, cast(0 as bigint) as rejected_records, kept as warehouse_rows,
+                   records - kept as unaccounted
+            from (select (select count(*) from {t}) as kept,
+                         (select count(*) from raw_{s.removeprefix('order_')}) as records)"""
+        for t, s in quality.STAGED_OF.items()
+    ),
     "l06c_row_counts": " union all ".join(
         f"""select '{t}' as table_name, (select count(*) from {t}) as warehouse_rows,
                    (select count(*) from raw_{s.removeprefix('order_')}) as source_rows"""

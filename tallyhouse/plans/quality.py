@@ -225,34 +225,59 @@ def grain_violations(wh: Warehouse) -> DataFrame:
 def row_counts(wh: Warehouse) -> DataFrame:
     """Rows of each fact and of its staged source, side by side."""
 
-    def count(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias(name))
+    def count(df: DataFrame, table: str, side: str) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(table).alias("table_name"),
+            *[(F.col("n") if name == side else F.lit(0).cast("bigint")).alias(name) for name in sides],
+        )
 
-    return _union(
+    sides = ["warehouse_rows", "source_rows"]
+    counts = _union(
         [
-            count(wh[fact], "warehouse_rows")
-            .crossJoin(count(wh.stage(source), "source_rows"))  # one row each
-            .select(F.lit(fact).alias("table_name"), "warehouse_rows", "source_rows")
+            count(df, fact, side)
             for fact, source in STAGED_OF.items()
+            for df, side in zip((wh[fact], wh.stage(source)), sides)
         ]
     )
+    return counts.groupBy("table_name").agg(*[F.sum(side).alias(side) for side in sides])
 
 
 def lost_rows(wh: Warehouse) -> DataFrame:
     return row_counts(wh).filter(F.col("warehouse_rows") != F.col("source_rows"))
 
 
+def accounts(wh: Warehouse) -> DataFrame:
+    """Per fact: records of the source, those rejected when read, rows, and what is unaccounted for.
+
+    Sources that reject nothing have 0 rejected records, and as many records as rows.
+    """
+
+    def count(name: str) -> DataFrame:
+        rejected = getattr(wh.sources[name], "rejected", None)
+        one = rejected() if rejected else wh.spark.createDataFrame([], "record string")
+        return one.agg(F.count(F.lit(1)).alias("rejected_records"))
+
+    set_aside = _union([count(source).select(F.lit(fact).alias("table_name"), "rejected_records") for fact, source in STAGED_OF.items()])
+    return row_counts(wh).join(set_aside, "table_name").select(
+        "table_name",
+        (F.col("source_rows") + F.col("rejected_records")).alias("records"),
+        "rejected_records",
+        "warehouse_rows",
+        (F.col("source_rows") - F.col("warehouse_rows")).alias("unaccounted"),
+    )
+
+
 def revenue_totals(wh: Warehouse) -> DataFrame:
     """Item value in the warehouse and in the source, to the cent."""
 
-    def total(df: DataFrame, value, name: str) -> DataFrame:
-        return df.agg(F.round(F.sum(value), 2).alias(name))
+    def total(df: DataFrame, value, side: str) -> DataFrame:
+        summed = df.agg(F.round(F.sum(value), 2).cast("decimal(38,2)").alias("total"))
+        return summed.select(*[F.when(F.lit(name == side), F.col("total")).alias(name) for name in sides])
 
-    stored = total(wh["fact_order_items"], F.col("total_item_value"), "warehouse_total")
-    given = total(
-        wh.stage("order_items"), F.col("price") + F.col("freight_value"), "source_total"
-    )
-    return stored.crossJoin(given)  # one row each
+    sides = ["warehouse_total", "source_total"]
+    stored = total(wh["fact_order_items"], F.col("total_item_value"), sides[0])
+    given = total(wh.stage("order_items"), F.col("price") + F.col("freight_value"), sides[1])
+    return stored.unionByName(given).agg(*[F.max(side).alias(side) for side in sides])
 
 
 def revenue_mismatch(wh: Warehouse) -> DataFrame:

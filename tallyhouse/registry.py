@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -18,6 +19,7 @@ from tallyhouse.plans import dashboard, filters, ordering, people, quality, sale
 from tallyhouse.plans.filters import Filters
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.sources import catalog
+from tallyhouse.sources.records import read_csv
 from tallyhouse.sources.staging import scan_csv, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,10 +84,58 @@ def _as_double(value: Column) -> Column:
     return value.cast("double")
 
 
+def _fresh(wh: Warehouse, name: str) -> str:
+    """A path of its own for each call: an earlier frame may not have been read yet."""
+    return wh.work.path_of(f"csv/{name}-{uuid.uuid4().hex}")
+
+
+def _as_records(wh: Warehouse, df: DataFrame, name: str) -> str:
+    path = _fresh(wh, name)
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.options(header=True, escape='"', **kept).csv(path)
+    return path
+
+
 # --- operators on the given tables -------------------------------------------
+def _quoted_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Free text with line breaks through a CSV file that is read in blocks."""
+    wh = tpch.warehouse(spark, folder)
+    docs = tpch.given_table(spark, folder, "documents")
+    path = _as_records(wh, docs, "documents")
+    return read_csv(spark, path, docs.schema, wh.work, f"blocks-{uuid.uuid4().hex}").rows
+
+
+def _rejected_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders of which some have no date or no number; those come with a reason, the rest as rows."""
+    wh = tpch.warehouse(spark, folder)
+    key = F.col("o_orderkey")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    given = tpch.given_table(spark, folder, "orders").select(
+        key.alias("order_id"),
+        F.when(key % 97 == 5, "soon").otherwise(day).alias("ordered_on"),
+        F.when(key % 89 == 3, "1,5").otherwise(F.col("o_totalprice").cast(schemas.MONEY).cast("string")).alias("total"),
+    )
+    schema = T.StructType(
+        [
+            T.StructField("order_id", T.LongType()),
+            T.StructField("ordered_on", T.DateType()),
+            T.StructField("total", schemas.MONEY),
+        ]
+    )
+    found = read_csv(spark, _as_records(wh, given, "orders"), schema, wh.work, f"blocks-{uuid.uuid4().hex}")
+    none = F.lit(None)
+    good = found.rows.select("order_id", "ordered_on", _as_double(F.col("total")).alias("total"), none.cast("string").alias("reasons"))
+    order = F.split_part("record", F.lit(","), F.lit(1)).cast("bigint")
+    return good.unionByName(
+        found.rejected.select(
+            order.alias("order_id"), none.cast("date").alias("ordered_on"), none.cast("double").alias("total"), "reasons"
+        )
+    )
+
+
 def _csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     wh = tpch.warehouse(spark, folder)
-    path = wh.work.path_of("csv/order_items")
+    path = _fresh(wh, "order_items")
     wh.sources["order_items"]().write.mode("overwrite").option("header", True).csv(path)
     # As the nine raw tables declare it, but the adapter's line ids are text.
     schema = T.StructType(
@@ -109,7 +159,7 @@ def _csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def _export_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     wh = tpch.warehouse(spark, folder)
     products = wh["dim_products"]
-    path = catalog.export_csv(products, wh.work.path_of("csv/dim_products"), rows=None)
+    path = catalog.export_csv(products, _fresh(wh, "dim_products"), rows=None)
     return scan_csv(spark, path, products.schema)
 
 
@@ -328,6 +378,8 @@ def _null_payment_parts(wh: Warehouse) -> DataFrame:
 QUERIES: dict[str, Query] = {
     # sources and sinks
     "a01_csv_scan": _csv_roundtrip,
+    "a01q_quoted_lines": _quoted_lines,
+    "a01r_rejected_cells": _rejected_cells,
     "a03_staged_orders": _staged_orders,
     "a10_row_counts": _warehouse_row_counts,
     "a13_export_csv": _export_roundtrip,
@@ -475,6 +527,7 @@ QUERIES |= {
     "l04_accepted_values": _on_warehouse(quality.accepted_violations),
     "l05_grain": _on_warehouse(quality.grain_violations),
     "l06_lost_rows": _on_warehouse(quality.lost_rows),
+    "l06a_accounts": _on_warehouse(quality.accounts),
     "l06c_row_counts": _on_warehouse(quality.row_counts),
     "l07_revenue_mismatch": _on_warehouse(
         lambda wh: _as_doubles(quality.revenue_mismatch(wh))

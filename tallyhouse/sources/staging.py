@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +13,8 @@ from pyspark.sql import types as T
 
 from tallyhouse import fixed_values as fixed
 from tallyhouse import schemas
+from tallyhouse.sources.records import read_csv
+from tallyhouse.sources.tables import TableFolder
 
 # Free text may hold line breaks. A file read with multiLine is not split, so
 # it is switched on for the one table that needs it.
@@ -42,6 +46,40 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bo
     )
 
 
+@dataclass(frozen=True)
+class RecordTable:
+    """A raw table read record by record: calling it gives the good rows."""
+
+    spark: SparkSession
+    path: str
+    schema: T.StructType
+    folder: TableFolder
+
+    def _split(self):
+        return read_csv(self.spark, self.path, self.schema, self.folder, f"blocks-{uuid.uuid4().hex}")
+
+    def __call__(self) -> DataFrame:
+        return self._split().rows
+
+    def rejected(self) -> DataFrame:
+        return self._split().rejected
+
+
+def record_sources(
+    spark: SparkSession, template: str, folder: TableFolder, names: Mapping[str, str] | None = None
+) -> dict[str, RecordTable]:
+    """As ``csv_sources``, but large files are read in many tasks, quoted line breaks
+    included, and a record that does not fit its table is set aside, not the build's end.
+
+    ``folder`` takes one row per block of the files.
+    """
+    names = names or {}
+    return {
+        table: RecordTable(spark, template.format(name=names.get(table, table)), schema, folder)
+        for table, schema in schemas.RAW.items()
+    }
+
+
 def csv_sources(
     spark: SparkSession, template: str, names: Mapping[str, str] | None = None
 ) -> dict[str, Callable[[], DataFrame]]:

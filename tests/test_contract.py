@@ -32,21 +32,9 @@ def test_same_rows_as_sql(spark, engine, name):
     df = QUERIES[name](spark, FOLDER)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for refused in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas"):
-        # The two one-row totals put side by side are the only cross joins.
-        if refused == "BroadcastNestedLoopJoin" and name in CROSSES_ONE_ROW:
-            continue
         assert refused not in plan, refused
     assert compare(df, engine, SQL[name]) == []
 
 
-CROSSES_ONE_ROW = {
-    "l06_lost_rows",
-    "l06c_row_counts",
-    "l07_revenue_mismatch",
-    "l07t_revenue_totals",
-    "l08_report",
-}
-
-
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
