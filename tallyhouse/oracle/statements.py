@@ -254,6 +254,12 @@ _PLAIN: dict[str, str] = {
                                case when o_orderkey % 89 = 3 then 'total is no decimal(18,2): 1,5' end)
                          as reasons
               from orders)""",
+    "a02_marked_lookup": """
+        select category as product_category_name, 'en_' || category as product_category_name_english
+        from (select distinct lower(p_type) || '_' || cast(p_size % 5 as varchar) as category
+              from part where p_size % 5 <> 4)""",
+    "a04_staged_view": "select status as order_status, count(*) as orders from raw_orders group by 1",
+    "a12_preview": "select * from dim_customers order by customer_key limit 50",
     "a03_staged_orders": f"""
         select order_id, customer_id, status as order_status, purchased as order_purchase_timestamp,
                approved as order_approved_at, carrier as order_delivered_carrier_date,
@@ -409,6 +415,17 @@ _PLAIN: dict[str, str] = {
         select case status_code when 'canceled' then 'Cancelled' when 'unavailable' then 'Unavailable'
                     else replace(status_code, '_', ' ') end as order_status, count(*) as items
         from viewed group by 1""",
+    "k06_range_presets": " union all ".join(
+        f"""select '{name}' as preset, count(*) as items
+            from fact_order_items f join dim_date d on f.purchase_date_key = d.date_key
+            where d.full_date between date '{start}' and date '{end}'"""
+        for name, start, end in [
+            ("all", "1995-01-01", "2001-12-31"),
+            ("1997", "1997-01-01", "1997-12-31"),
+            ("2001", "2001-01-01", "2001-12-31"),
+            ("custom", "1998-02-01", "1998-06-30"),
+        ]
+    ),
     # further analytics
     "p01_monthly_revenue": f"""
         select year_month, {money('revenue')} as revenue,
@@ -599,6 +616,11 @@ _PLAIN: dict[str, str] = {
             having count(*) > 0"""
         for c in quality.DURATIONS
     ),
+    "l09n_early_deliveries": " union all ".join(
+        f"""select '{c}' as "column", count(*) as "rows" from fact_order_items where {c} < 0
+            having count(*) > 0"""
+        for c in ["delivery_days", "delivery_delay_days"]
+    ),
     "l01d_duplicate_lines": """
         select l_orderkey, l_linenumber, count(*) as n from lineitem
         group by 1, 2 having count(*) > 1""",

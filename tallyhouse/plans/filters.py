@@ -161,8 +161,13 @@ def item_view(wh: Warehouse, filters: Filters = Filters(), columns: Sequence[str
 
 
 def kept_orders(wh: Warehouse, filters: Filters) -> DataFrame:
-    """Ids of the orders with at least one item that passes the filters."""
-    return item_view(wh, filters, ["order_id"]).distinct()
+    """Ids of the orders with at least one item that passes the filters.
+
+    A dashboard asks a dozen questions of one set of filters. The ids are found once per
+    set and build and written, so the questions after the first do not read the items
+    for them, and Spark knows their true size.
+    """
+    return wh.remembered(("kept orders", filters), lambda: item_view(wh, filters, ["order_id"]).distinct())
 
 
 def _order_scope(
@@ -270,11 +275,12 @@ def date_bounds(wh: Warehouse) -> DataFrame:
     """First and last purchase day; rows without a day do not count.
 
     Order of keys is order of days, so the bounds are found on the fact alone
-    and only two keys are looked up in the calendar.
+    and only two keys are looked up in the calendar. Rows without a day have a
+    partition of their own, so the bounds of the others are in the file footers.
     """
     keys = (
-        wh["fact_order_items"]
-        .filter(F.col("purchase_date_key") != fixed.UNKNOWN_KEY)
+        wh.footers("fact_order_items")
+        .filter(F.col("purchase_year") != fixed.UNKNOWN_KEY)
         .agg(F.min("purchase_date_key").alias("lo"), F.max("purchase_date_key").alias("hi"))
     )
     days = wh["dim_date"].select("date_key", F.col("full_date"))

@@ -7,80 +7,14 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse import fixed_values as fixed
+from tallyhouse.plans.checks import ACCEPTED, DURATIONS, GRAINS, NOT_NULL, PARENTS, UNIQUE
 from tallyhouse.plans.warehouse import Warehouse
 
-# --- what is declared about the tables ---------------------------------------
-UNIQUE = {
-    "dim_date": ["date_key", "full_date"],
-    "dim_geography": ["geography_key", "zip_code_prefix"],
-    "dim_customers": ["customer_key", "customer_id"],
-    "dim_sellers": ["seller_key", "seller_id"],
-    "dim_products": ["product_key", "product_id"],
-    "dim_order_status": ["order_status_key", "order_status"],
-    "dim_payment_type": ["payment_type_key", "payment_type"],
-}
-PARENTS = {
-    "dim_customers": {"geography_key": ("dim_geography", "geography_key")},
-    "dim_sellers": {"geography_key": ("dim_geography", "geography_key")},
-    "fact_order_items": {
-        "purchase_date_key": ("dim_date", "date_key"),
-        "approved_date_key": ("dim_date", "date_key"),
-        "carrier_date_key": ("dim_date", "date_key"),
-        "delivered_date_key": ("dim_date", "date_key"),
-        "estimated_date_key": ("dim_date", "date_key"),
-        "product_key": ("dim_products", "product_key"),
-        "customer_key": ("dim_customers", "customer_key"),
-        "seller_key": ("dim_sellers", "seller_key"),
-        "order_status_key": ("dim_order_status", "order_status_key"),
-        "customer_geography_key": ("dim_geography", "geography_key"),
-        "seller_geography_key": ("dim_geography", "geography_key"),
-    },
-    "fact_order_payments": {
-        "purchase_date_key": ("dim_date", "date_key"),
-        "customer_key": ("dim_customers", "customer_key"),
-        "customer_geography_key": ("dim_geography", "geography_key"),
-        "payment_type_key": ("dim_payment_type", "payment_type_key"),
-        "order_status_key": ("dim_order_status", "order_status_key"),
-    },
-    "fact_order_reviews": {
-        "purchase_date_key": ("dim_date", "date_key"),
-        "review_created_date_key": ("dim_date", "date_key"),
-        "review_answered_date_key": ("dim_date", "date_key"),
-        "customer_key": ("dim_customers", "customer_key"),
-        "customer_geography_key": ("dim_geography", "geography_key"),
-        "order_status_key": ("dim_order_status", "order_status_key"),
-    },
-}
-_MEASURED = {
-    "fact_order_items": ["price", "freight_value"],
-    "fact_order_payments": ["payment_value"],
-    "fact_order_reviews": ["review_score"],
-}
-NOT_NULL = {
-    table: [
-        *[c for c in UNIQUE.get(table, []) if c != "full_date"],
-        *PARENTS.get(table, {}),
-        *_MEASURED.get(table, []),
-    ]
-    for table in [*UNIQUE, *_MEASURED]
-}
-ACCEPTED = {
-    ("dim_geography", "region"): fixed.REGIONS,
-    ("dim_products", "size_band"): fixed.SIZE_BANDS_ACCEPTED,
-    ("fact_order_reviews", "review_score"): fixed.REVIEW_SCORES,
-}
-GRAINS = {
-    "fact_order_items": ["order_id", "order_item_id"],
-    "fact_order_payments": ["order_id", "payment_sequential"],
-    "fact_order_reviews": ["review_id", "order_id"],
-}
 STAGED_OF = {
     "fact_order_items": "order_items",
     "fact_order_payments": "order_payments",
     "fact_order_reviews": "order_reviews",
 }
-DURATIONS = ["delivery_days", "seller_processing_days", "carrier_transit_days"]
 
 
 # --- operators on any table --------------------------------------------------
@@ -236,7 +170,7 @@ def row_counts(wh: Warehouse) -> DataFrame:
         [
             count(df, fact, side)
             for fact, source in STAGED_OF.items()
-            for df, side in zip((wh[fact], wh.stage(source)), sides)
+            for df, side in zip((wh.footers(fact), wh.stage(source)), sides)
         ]
     )
     return counts.groupBy("table_name").agg(*[F.sum(side).alias(side) for side in sides])
@@ -284,11 +218,11 @@ def revenue_mismatch(wh: Warehouse) -> DataFrame:
     return revenue_totals(wh).filter(F.col("warehouse_total") != F.col("source_total"))
 
 
-def negative_durations(wh: Warehouse) -> DataFrame:
+def negative_durations(wh: Warehouse, columns: Sequence[str] = DURATIONS) -> DataFrame:
     """(column, rows) of durations below zero; an extra, optional check."""
     items = wh["fact_order_items"]
-    counts = items.agg(*[F.expr(f"count_if({c} < 0) as {c}") for c in DURATIONS])
-    cells = [{"column": f"'{c}'", "rows": c} for c in DURATIONS]
+    counts = items.agg(*[F.expr(f"count_if({c} < 0) as {c}") for c in columns])
+    cells = [{"column": f"'{c}'", "rows": c} for c in columns]
     return counts.selectExpr(_stacked(cells)).filter("rows > 0")
 
 

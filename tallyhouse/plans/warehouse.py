@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Hashable, Mapping
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -12,15 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse import fixed_values as fixed
 from tallyhouse import schemas
-from tallyhouse.plans import dims, facts
+from tallyhouse.plans import checks, dims, facts
 from tallyhouse.sources.staging import staged
 from tallyhouse.sources.tables import TableFolder
 
 
 @dataclass(frozen=True)
 class BuildReport:
+    """``violations`` are (table, check, column, rows) that the writing jobs counted."""
+
     ok: bool
     log: tuple[str, ...]
+    violations: tuple[tuple[str, str, str, int], ...] = ()
 
 
 class Warehouse:
@@ -54,6 +57,22 @@ class Warehouse:
         self.work = self.folder.below("work")
         self._draft: TableFolder | None = None
         self._read: dict[str, TableFolder] = {}
+        self._remembered: dict[tuple[str, Hashable], DataFrame] = {}
+
+    def remembered(self, key: Hashable, make: Callable[[], DataFrame]) -> DataFrame:
+        """What ``make`` gives on the published build, written at the first call.
+
+        It lies in the folder of that build and goes with it. Without a published
+        build nothing is kept.
+        """
+        published = self.folder.marks("published")
+        if not published:
+            return make()
+        place = (published[-1], key)
+        if place not in self._remembered:
+            kept = self.folder.below(published[-1]).below("remembered")
+            self._remembered[place] = kept.write(uuid.uuid4().hex, make())
+        return self._remembered[place]
 
     def stage(self, name: str) -> DataFrame:
         """A staged raw table, not materialised."""
@@ -70,6 +89,12 @@ class Warehouse:
             self._read[newest] = self.folder.below(newest)
         return self._read[newest].read(name)
 
+    def footers(self, name: str) -> DataFrame:
+        """A table of the published build for counts and bounds; see ``TableFolder.footers``."""
+        table = self[name]
+        published = self.folder.marks("published")
+        return self._read[published[-1]].footers(name) if published else table
+
     def _new_draft(self) -> TableFolder:
         self._draft = self.folder.below(f"build-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}")
         return self._draft
@@ -139,18 +164,21 @@ class Warehouse:
                 rows,
                 partition_by=["purchase_year"],
                 cluster_by=["purchase_date_key", "order_id", *schemas.LINE_OF_ORDER[name]],
+                measures=checks.measures(name),
             )
         else:
-            draft.write(name, rows)
+            draft.write(name, rows, measures=checks.measures(name))
 
     def ready(self) -> bool:
         """True when a build with all ten tables has been published."""
         return bool(self.folder.marks("published"))
 
-    def build(self, if_missing: bool = True) -> BuildReport:
+    def build(self, if_missing: bool = True, only_sound: bool = False) -> BuildReport:
         """Build in dependency order and publish; by default only if nothing is.
 
         What fails is reported, not raised, and leaves the published build as it was.
+        Declared NULLs, values and durations are counted while the tables are written;
+        with ``only_sound`` a build that violates one of them is not published either.
         """
         if if_missing and self.ready():
             return BuildReport(True, ())
@@ -167,8 +195,13 @@ class Warehouse:
                 draft.remove()
                 return BuildReport(False, (*log, f"{name}: failed, {fault}"))
             log.append(f"{name}: built in {time.monotonic() - began:.1f} s")
+        found = tuple(checks.violations(draft.measured))
+        if found and only_sound:
+            self._draft = None
+            draft.remove()
+            return BuildReport(False, (*log, f"not published: {len(found)} checks are violated"), found)
         self._publish(draft)
-        return BuildReport(True, tuple(log))
+        return BuildReport(True, tuple(log), found)
 
     def _publish(self, draft: TableFolder) -> None:
         """Make the build the one to be read; the one before stays for its readers."""
@@ -179,3 +212,4 @@ class Warehouse:
             self.folder.below("published").below(name).remove()
             self.folder.below(name).remove()
             self._read.pop(name, None)
+            self._remembered = {k: df for k, df in self._remembered.items() if k[0] != name}

@@ -20,7 +20,7 @@ from tallyhouse.plans.filters import Filters
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.sources import catalog
 from tallyhouse.sources.records import read_csv
-from tallyhouse.sources.staging import scan_csv, staged
+from tallyhouse.sources.staging import register_views, scan_csv, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -163,13 +163,48 @@ def _export_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return scan_csv(spark, path, products.schema)
 
 
+def _marked_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """The category names through a CSV file that begins with a byte order mark."""
+    wh = tpch.warehouse(spark, folder)
+    names = wh.sources["category_translation"]()
+    path = _fresh(wh, "category_translation")
+    # One file, as the lookup is: one row per category.
+    marked = names.withColumnRenamed(names.columns[0], "\ufeff" + names.columns[0])
+    marked.coalesce(1).write.option("header", True).csv(path)
+    return scan_csv(spark, path, schemas.RAW["category_translation"])
+
+
+def _staged_view(spark: SparkSession, folder: str) -> DataFrame:
+    """Staged orders asked for by the name of their view."""
+    register_views(tpch.sources(spark, folder))
+    return spark.sql("select order_status, count(*) as orders from stg_orders group by order_status")
+
+
+def _preview(wh: Warehouse) -> DataFrame:
+    return catalog.preview(wh["dim_customers"].orderBy("customer_key"), 50)
+
+
+def _range_presets(wh: Warehouse) -> DataFrame:
+    """Items within each range of days that can be chosen by name."""
+    first, last = date(1995, 1, 1), date(2001, 12, 31)
+    chosen = {"all": ("all", None), "1997": (1997, None), "2001": ("2001", None)}
+    chosen["custom"] = ("custom", (date(1998, 6, 30), date(1998, 2, 1)))
+    counts = None
+    for name, (preset, days) in chosen.items():
+        start, end = filters.resolve_range(preset, first, last, days)
+        items = filters.item_view(wh, Filters(start=start, end=end), ["order_id"])
+        one = items.agg(F.count(F.lit(1)).alias("items")).select(F.lit(name).alias("preset"), "items")
+        counts = one if counts is None else counts.unionByName(one)
+    return counts
+
+
 def _staged_orders(spark: SparkSession, folder: str) -> DataFrame:
     return staged(tpch.sources(spark, folder)["orders"]())
 
 
 def _warehouse_row_counts(spark: SparkSession, folder: str) -> DataFrame:
     wh = tpch.warehouse(spark, folder)
-    return catalog.row_counts({name: wh[name] for name in schemas.WAREHOUSE_TABLES})
+    return catalog.row_counts({name: wh.footers(name) for name in schemas.WAREHOUSE_TABLES})
 
 
 def _bucketize_prices(t) -> DataFrame:
@@ -380,8 +415,11 @@ QUERIES: dict[str, Query] = {
     "a01_csv_scan": _csv_roundtrip,
     "a01q_quoted_lines": _quoted_lines,
     "a01r_rejected_cells": _rejected_cells,
+    "a02_marked_lookup": _marked_lookup,
     "a03_staged_orders": _staged_orders,
+    "a04_staged_view": _staged_view,
     "a10_row_counts": _warehouse_row_counts,
+    "a12_preview": _on_warehouse(_preview),
     "a13_export_csv": _export_roundtrip,
     # operators
     "b04_bucketize": _on_given(_bucketize_prices),
@@ -445,6 +483,7 @@ QUERIES: dict[str, Query] = {
     "k04_item_view": _on_warehouse(lambda wh: _shown_view(filters.item_view(wh))),
     "k04f_item_view_filtered": _on_warehouse(lambda wh: _shown_view(filters.item_view(wh, BY_ITEM))),
     "k05_kept_orders": _on_warehouse(filters.kept_orders, filters=BY_ITEM),
+    "k06_range_presets": _on_warehouse(_range_presets),
     "k07_relabel": _on_warehouse(_relabelled_statuses),
 }
 
@@ -535,6 +574,9 @@ QUERIES |= {
     "l07t_revenue_totals": _on_warehouse(lambda wh: _as_doubles(quality.revenue_totals(wh))),
     "l08_report": _on_warehouse(quality.report),
     "l09_negative_durations": _on_warehouse(quality.negative_durations),
+    "l09n_early_deliveries": _on_warehouse(
+        quality.negative_durations, columns=["delivery_days", "delivery_delay_days"]
+    ),
     "l01d_duplicate_lines": _on_given(_report_on_duplicates),
     "l02n_null_counts": _on_warehouse(_null_payment_parts),
     "l04o_outside_values": _on_given(_outside_values),

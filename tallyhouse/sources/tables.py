@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
 
@@ -16,6 +16,7 @@ class TableFolder:
         self.path = path.rstrip("/")
         self._schemas: dict[str, T.StructType] = {}
         self._open: dict[str, DataFrame] = {}
+        self.measured: dict[str, dict] = {}
 
     def path_of(self, name: str) -> str:
         return f"{self.path}/{name}"
@@ -59,6 +60,7 @@ class TableFolder:
         df: DataFrame,
         partition_by: Sequence[str] = (),
         cluster_by: Sequence[str] = (),
+        measures: Sequence[Column] = (),
     ) -> DataFrame:
         """Write (replacing what is there) and return the table read back.
 
@@ -68,16 +70,25 @@ class TableFolder:
         columns identify a row, however hot the first of them is; AQE joins
         neighbouring ranges of a small table. The first of them must order rows
         as ``partition_by`` does, so that a file spans few partitions.
+
+        ``measures`` are aggregates counted in the job that writes, on the rows as they
+        are written; ``measured`` has them afterwards.
         """
         self._open.pop(name, None)
         out = df
         if cluster_by:
             out = out.repartitionByRange(*cluster_by)
             out = out.sortWithinPartitions(*partition_by, *cluster_by)
+        if measures:
+            # Last of all: cutting ranges reads a part of the rows twice.
+            seen = Observation(name)
+            out = out.observe(seen, *measures)
         writer = out.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path_of(name))
+        if measures:
+            self.measured[name] = seen.get
         data = [f for f in df.schema if f.name not in partition_by]
         parts = [f for f in df.schema if f.name in partition_by]
         self._schemas[name] = T.StructType(
@@ -85,6 +96,22 @@ class TableFolder:
         )
         return self.read(name)
 
+    def footers(self, name: str) -> DataFrame:
+        """The table through the reader that answers counts and bounds from file footers.
+
+        Counts of all rows, and minima and maxima of numbers without a filter (but for one
+        on the partitions), then read no rows at all. Which reader a table has is settled
+        when it is opened, so the setting is put back at once.
+        """
+        conf, setting = self.spark.conf, "spark.sql.sources.useV1SourceList"
+        conf.set("spark.sql.parquet.aggregatePushdown", "true")
+        before = conf.get(setting)
+        conf.set(setting, ",".join(kind for kind in before.split(",") if kind != "parquet"))
+        try:
+            return self.spark.read.parquet(self.path_of(name))
+        finally:
+            conf.set(setting, before)
+
     def read(self, name: str) -> DataFrame:
         """The table as last written here; its files are listed once."""
         if name not in self._open:
