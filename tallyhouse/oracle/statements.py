@@ -634,6 +634,15 @@ _PLAIN: dict[str, str] = {
         where event_type not in ('click', 'view') group by 1""",
 }
 
+_PLAIN["q10h_methods_by_month_sketched"] = (
+    "select year, month, month_name, payment_label, orders, true as close from "
+    f"({_PLAIN['q10_payment_methods_by_month']})"
+)
+_PLAIN["q12h_orders_by_hour_sketched"] = (
+    "select purchase_hour, orders, true as close from ("
+    + _hours("(select * from sold where full_date between date '1996-03-01' and date '1999-06-30')")
+    + ")"
+)
 _PLAIN["l06_lost_rows"] = (
     f"select * from ({_PLAIN['l06c_row_counts']}) where warehouse_rows <> source_rows"
 )

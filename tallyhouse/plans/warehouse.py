@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable, Hashable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -17,6 +18,14 @@ from tallyhouse.sources.staging import staged
 from tallyhouse.sources.tables import TableFolder
 
 
+# Tables that need only what stands before them; those of one line are built at once.
+WAVES = (
+    ("dim_date", "dim_geography", "dim_products", "dim_order_status", "dim_payment_type"),
+    ("dim_customers", "dim_sellers"),
+    schemas.FACTS,
+)
+
+
 @dataclass(frozen=True)
 class BuildReport:
     """``violations`` are (table, check, column, rows) that the writing jobs counted."""
@@ -182,19 +191,36 @@ class Warehouse:
         """
         if if_missing and self.ready():
             return BuildReport(True, ())
-        log = []
+        log: list[str] = []
         draft = self._draft if if_missing and self._draft else self._new_draft()
-        for name in schemas.WAREHOUSE_TABLES:
-            if draft.exists(name):
-                continue
+
+        def made(name: str) -> tuple[str, bool]:
             began = time.monotonic()
             try:
                 self._drafted(name)
             except Exception as fault:
+                return f"{name}: failed, {fault}", False
+            return f"{name}: built in {time.monotonic() - began:.1f} s", True
+
+        for wave in WAVES:
+            names = [name for name in wave if not draft.exists(name)]
+            if not names:
+                continue
+            if wave is schemas.FACTS:
+                try:
+                    self._header()  # all facts read it
+                except Exception as fault:
+                    self._draft = None
+                    draft.remove()
+                    return BuildReport(False, (*log, f"order_header: failed, {fault}"))
+            with ThreadPoolExecutor(len(names)) as pool:
+                done = list(pool.map(made, names))
+            log += [line for line, ok in done if ok]
+            failed = [line for line, ok in done if not ok]
+            if failed:
                 self._draft = None
                 draft.remove()
-                return BuildReport(False, (*log, f"{name}: failed, {fault}"))
-            log.append(f"{name}: built in {time.monotonic() - began:.1f} s")
+                return BuildReport(False, (*log, *failed))
         found = tuple(checks.violations(draft.measured))
         if found and only_sound:
             self._draft = None
@@ -208,8 +234,13 @@ class Warehouse:
         draft.below("work").remove()
         self.folder.mark("published", draft.path.rsplit("/", 1)[-1])
         self._draft = None
-        for name in self.folder.marks("published")[:-2]:
+        published = self.folder.marks("published")
+        for name in published[:-2]:
             self.folder.below("published").below(name).remove()
+        for name in self.folder.marks(""):
+            # Older than the builds that stay: published once, or left by a build that was killed.
+            if not name.startswith("build-") or name >= published[-2:][0]:
+                continue
             self.folder.below(name).remove()
             self._read.pop(name, None)
             self._remembered = {k: df for k, df in self._remembered.items() if k[0] != name}

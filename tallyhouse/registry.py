@@ -15,7 +15,7 @@ from tallyhouse.adapters import tpch
 from tallyhouse.functions import scalars as S
 from tallyhouse.operators import ranking
 from tallyhouse.operators.rows import dedup, resolve_fk
-from tallyhouse.plans import dashboard, filters, ordering, people, quality, sales, shipping
+from tallyhouse.plans import dashboard, filters, ordering, people, quality, sales, shipping, sketches
 from tallyhouse.plans.filters import Filters
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.sources import catalog
@@ -174,6 +174,16 @@ def _marked_lookup(spark: SparkSession, folder: str) -> DataFrame:
     return scan_csv(spark, path, schemas.RAW["category_translation"])
 
 
+def _sketched_methods(wh: Warehouse) -> DataFrame:
+    by = ("year", "month", "month_name", "payment_label")
+    return sketches.against_exact(sketches.payment_methods_by_month(wh), ordering.payment_methods_by_month(wh), by)
+
+
+def _sketched_hours(wh: Warehouse) -> DataFrame:
+    days = Filters(start=BY_ORDER.start, end=BY_ORDER.end)
+    return sketches.against_exact(sketches.orders_by_hour(wh, days), ordering.orders_by_hour(wh, days), ("purchase_hour",))
+
+
 def _staged_view(spark: SparkSession, folder: str) -> DataFrame:
     """Staged orders asked for by the name of their view."""
     register_views(tpch.sources(spark, folder))
@@ -469,8 +479,10 @@ QUERIES: dict[str, Query] = {
     "q08_weight_vs_freight": _on_warehouse(shipping.weight_vs_freight),
     "q09_freight_pct_vs_review": _on_warehouse(shipping.freight_share_vs_review),
     "q10_payment_methods_by_month": _on_warehouse(ordering.payment_methods_by_month),
+    "q10h_methods_by_month_sketched": _on_warehouse(_sketched_methods),
     "q11_photos_vs_orders": _on_warehouse(ordering.photos_vs_orders),
     "q12_orders_by_hour": _on_warehouse(ordering.orders_by_hour),
+    "q12h_orders_by_hour_sketched": _on_warehouse(_sketched_hours),
     "q13_top_units_by_month": _on_warehouse(sales.top_units_by_month),
     "q14_late_rate_by_size": _on_warehouse(shipping.late_rate_by_size),
     "q15_instalments_by_category": _on_warehouse(ordering.instalments_by_category),
