@@ -35,6 +35,12 @@ def _words(text: Column) -> Column:
     return F.coalesce(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), none)
 
 
+def _coarse(text: Column) -> Column:
+    """Full lower case of every character for itself: that of a capital sigma would depend
+    on its neighbours, also on those that part words here."""
+    return F.lower(F.replace(text, F.lit("\u03a3"), F.lit("\u03c3")))
+
+
 def _mix(x: Column, y: Column) -> Column:
     return F.xxhash64(x, y)
 
@@ -104,7 +110,7 @@ def decontaminate(
     # The fingerprints of a document lead to its candidate flag; counted per task
     # before the shuffle, so one row per document moves. Full lower case is coarser
     # than A-Z, so nothing is lost here, and the word count is the same.
-    first = docs.select("doc_id", "_text", _words(F.lower("text")).alias("_words"))
+    first = docs.select("doc_id", "_text", _words(_coarse(F.col("text"))).alias("_words"))
     coarse = _with_fingerprints(first, span, k)
     short = [n for n in lengths if n < span]
     for n in short:
@@ -170,7 +176,7 @@ def decontaminate(
 
 def _coarse_windows(benchmark: DataFrame, span: int, k: int) -> DataFrame:
     """Fingerprints of the benchmark in full lower case."""
-    items = benchmark.select(_words(F.lower("text")).alias("_words")).filter(F.size("_words") > 0)
+    items = benchmark.select(_words(_coarse(F.col("text"))).alias("_words")).filter(F.size("_words") > 0)
     long = _with_fingerprints(items, span, k).select(F.explode("_fp").alias("fp"))
     for n in range(1, span):
         few = items.filter(F.size("_words") == n).withColumn(
