@@ -21,8 +21,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 PASSES = 3  # no document is taken more often
 SEED = 20_240_611
-# Words that the dynamic programme has to meet at most; whole documents fill the rest.
+# Words that the dynamic programme has to meet at least; twice the longest document if that
+# is more, so that documents of every length are fitted. Whole documents fill the rest.
 DP_WORDS = 1 << 16
+# Steps of the programme between two sets of sums that are held.
+HELD_STEPS = 64
 
 
 def _targets(sizes: DataFrame, weights: tuple[int, ...], passes: int) -> DataFrame:
@@ -61,9 +64,11 @@ def fit(sizes: list[int], counts: list[int], budget: int, dp_words: int = DP_WOR
 
     A proportional part of each size is taken first. The rest is filled one document
     per size, those nearest to their next whole number first, then by large sizes down
-    to ``dp_words``; the last words are a bounded knapsack, solved exactly by a set of
-    reachable sums held as the bits of one integer.
+    to ``dp_words`` or twice the longest document; the last words are a bounded knapsack,
+    solved exactly by a set of reachable sums held as the bits of one integer. Sets are
+    held for every ``HELD_STEPS``-th step, those between are made again on the way back.
     """
+    dp_words = max(dp_words, 2 * max(sizes, default=0))
     total = sum(s * n for s, n in zip(sizes, counts))
     if budget <= 0 or total <= 0:
         return [0] * len(sizes)
@@ -88,19 +93,26 @@ def fit(sizes: list[int], counts: list[int], budget: int, dp_words: int = DP_WOR
         more = min(counts[i] - taken[i], left // sizes[i])
         taken[i] += more
         left -= more * sizes[i]
-    mask, reach, steps = (1 << (left + 1)) - 1, 1, []
+    mask, reach, steps, held = (1 << (left + 1)) - 1, 1, [], []
     for i in large_first:
         spare, chunk = min(counts[i] - taken[i], left // sizes[i]), 1
         while spare > 0 and not reach >> left & 1:
             use = min(chunk, spare)
-            steps.append((i, use, reach))
+            if len(steps) % HELD_STEPS == 0:
+                held.append(reach)
+            steps.append((i, use))
             reach |= reach << use * sizes[i] & mask
             spare, chunk = spare - use, chunk * 2
     at = reach.bit_length() - 1
-    for i, use, before in reversed(steps):
-        if not before >> at & 1:
-            taken[i] += use
-            at -= use * sizes[i]
+    while held:
+        before, block = [held.pop()], steps[len(held) * HELD_STEPS :]
+        del steps[len(held) * HELD_STEPS :]
+        for i, use in block:
+            before.append(before[-1] | before[-1] << use * sizes[i] & mask)
+        for (i, use), sums in zip(reversed(block), reversed(before[:-1])):
+            if not sums >> at & 1:
+                taken[i] += use
+                at -= use * sizes[i]
     return taken
 
 
