@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from tallyhouse.session import shared_folder
 
-# Rows of a learned or stated table that may be broadcast. A row of such tables is
-# below 100 bytes, so this is at most 50 MB for every executor.
+# Rows of a learned or stated table that may be broadcast, and its bytes as it is written.
+# The rows are a bound for frames that are derived from a written table without arrays.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 32 << 20
 
 
 def library_for_workers(spark: SparkSession) -> None:
@@ -65,9 +66,18 @@ def release(*frames: DataFrame) -> None:
         folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder.getParent(), True)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A stored table, marked for broadcast only if it was counted to be small."""
-    return F.broadcast(df) if df.count() <= rows else df
+def stored_bytes(df: DataFrame) -> int:
+    """Bytes of a stored table; 0 for a frame that was only derived from one."""
+    if not hasattr(df, "stored_at"):
+        return 0
+    folder = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+    fs = folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration())
+    return fs.getContentSummary(folder).getLength()
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """A stored table, marked for broadcast only if its bytes and rows were found to be few."""
+    return F.broadcast(df) if stored_bytes(df) <= size and df.count() <= rows else df
 
 
 def lower_az(text: Column) -> Column:

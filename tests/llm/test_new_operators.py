@@ -11,7 +11,8 @@ import zlib
 import numpy as np
 import pytest
 
-from tallyhouse.llm import merkle, pii, whitening
+from tallyhouse.llm import decontaminate, merkle, mixing, pii, whitening
+from tallyhouse.llm.common import small, stored
 from tests.llm.test_text_operators import DOCS, LOWER, frame, words
 
 # 11 ------------------------------------------------------------------------------------------------
@@ -283,3 +284,45 @@ def test_exact_sums_beyond_64_bits():
     assert whitening._squares(np.array([[3, 4]])) == [25] and whitening._squares(np.array([[2**32, 0]])) == [None]
     assert whitening._squares(np.array([[2**31, 2**31]])) == [2**63 if 2**63 < 2**63 else None]
     assert whitening._squares(np.array([[2**31, 2**30]])) == [2**62 + 2**60]
+
+
+def test_large_documents_are_fitted_exactly():
+    sizes, counts = [50_000, 80_000, 90_000], [2, 1, 1]
+    for dp_words in (1, 1 << 16):
+        assert mixing.fit(sizes, counts, 100_000, dp_words) == [2, 0, 0]
+    assert mixing.fit([], [], 5) == [] and mixing.fit([0, 3], [4, 2], 6) == [0, 2]
+    rng = random.Random(8)
+    for _ in range(200):
+        sizes = sorted(rng.sample(range(1, 60), rng.randint(1, 8)))
+        counts = [rng.randint(1, 4) for _ in sizes]
+        budget = rng.randint(0, sum(s * n for s, n in zip(sizes, counts)))
+        got = mixing.fit(sizes, counts, budget)
+        assert all(0 <= t <= n for t, n in zip(got, counts))
+        # No other choice beyond the proportional part comes nearer from below.
+        base = [n * budget // sum(s * m for s, m in zip(sizes, counts)) for n in counts]
+        sums = {0}
+        for s, n, b in zip(sizes, counts, base):
+            sums = {x + s * k for x in sums for k in range(n - b + 1)}
+        left = budget - sum(s * b for s, b in zip(sizes, base))
+        assert sum(s * t for s, t in zip(sizes, got)) == budget - left + max(x for x in sums if x <= left)
+
+
+def test_many_steps_are_traced_back(monkeypatch):
+    monkeypatch.setattr(mixing, "HELD_STEPS", 3)
+    sizes, counts = list(range(2, 200, 2)), [5] * 99
+    got = mixing.fit(sizes, counts, 9_999)
+    assert sum(s * t for s, t in zip(sizes, got)) == 9_998 and max(got) <= 5
+
+
+def test_capital_sigma_parts_no_window(spark):
+    greek = "ΛΟΓΟΣ:ΑΡΧΗ ΕΝ ΤΩ ΚΟΣΜΩ ΗΝ ΠΡΟΣ ΤΟΝ ΘΕΟΝ ΚΑΙ"
+    docs = spark.createDataFrame([(1, greek.replace(":", " ")), (2, "x " + greek)], "doc_id long, text string")
+    items = spark.createDataFrame([("i", greek)], "item_id string, text string")
+    got = {r.doc_id: r.n_hit for r in decontaminate.decontaminate(docs, items).collect()}
+    assert got == {1: 10, 2: 10}
+
+
+def test_what_is_broadcast_is_measured_in_bytes(spark):
+    wide = stored(spark.range(100).selectExpr("id", "repeat(cast(id as string), 1000) as text"), "wide")
+    assert "broadcast" in small(wide)._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" not in small(wide, size=10)._jdf.queryExecution().logical().toString().lower()
