@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.llm import decontaminate, jaccard, line_dedup, mixing, toxicity
-from tallyhouse.llm.common import library_for_workers, read, stored
+from tallyhouse.llm.common import library_for_workers, read, release, stored
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +51,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after the other; what a stage has read is removed once its rows are written.
+
+    Null and empty texts pass every stage and are taken 0 times by the mix; rows equal in
+    doc_id and text are treated alike until one of each group stays; an empty table gives
+    no rows; columns other than those of documents are not expected.
+    """
     docs = read(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = stored(docs, f"stage{k}")
+            if k:
+                release(before)
     return docs
