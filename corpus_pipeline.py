@@ -53,9 +53,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after the other; what a stage has read is removed once its rows are written.
 
-    Null and empty texts pass every stage and are taken 0 times by the mix; rows equal in
-    doc_id and text are treated alike until one of each group stays; an empty table gives
-    no rows; columns other than those of documents are not expected.
+    Null and empty texts are copies of nothing, hold no benchmark window and are taken 0
+    times by the mix. Other cases are as each stage's operator states them.
     """
     docs = read(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
