@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
+from collections import Counter
 from itertools import combinations
 from pathlib import Path
 
@@ -189,10 +191,97 @@ def test_kneser_ney_shares_sum_to_one(spark):
     letters = [1] + [ord(c) for c in "abcd"] + [0]
     context = (ord("a") << 32) | (ord("b") << 16)
     codes = np.array([1 << 48 | context | c for c in letters], dtype=np.uint64)
-    total = model._slow(codes)[:, 0].sum()
+    total = model.entries.probabilities(codes)[:, 0].sum()
     assert 0.99 < total <= 1.001
 
 
+def plain_kneser_ney(texts: list[str], discount: float = 0.75):
+    """Cross-entropy of a text by tuples and dictionaries, one character at a time."""
+
+    def symbols(text):
+        out = []
+        for c in text.lower():
+            c = c if c.isalpha() else " "
+            if not (c == " " and out and out[-1] == " "):
+                out.append(c)
+        return [None] * 3 + out
+
+    counts = {4: Counter(), 3: Counter(), 2: Counter(), 1: Counter()}
+    for text in texts:
+        seen = symbols(text)
+        counts[4].update(tuple(seen[i : i + 4]) for i in range(len(seen) - 3))
+    for k in (3, 2, 1):
+        for longer in counts[k + 1]:
+            counts[k][longer[1:]] += 1
+
+    def share(gram):
+        if not gram:
+            return 1 / 65536
+        after = {g: n for g, n in counts[len(gram)].items() if g[:-1] == gram[:-1]}
+        if not after:
+            return share(gram[1:])
+        total = sum(after.values())
+        return max(after.get(gram, 0) - discount, 0) / total + discount * len(after) / total * share(gram[1:])
+
+    def entropy(text):
+        seen = symbols(text)
+        return -sum(math.log(share(tuple(seen[i : i + 4]))) for i in range(len(seen) - 3)) / (len(seen) - 3)
+
+    return entropy
+
+
+SENTENCES = {
+    "en": ["the thing, there; THE other", "this is 42 things", "they gather here"],
+    "de": ["der Schnee schmilzt schön", "die Straße ist naß 7"],
+    "ja": ["日本語の文字である", "文字と言葉 𠀀𠀁"],
+}
+
+
+def test_cross_entropies_are_those_of_a_plain_kneser_ney(spark):
+    rows = [(i * 10 + j, t, lang, "a") for i, (lang, own) in enumerate(SENTENCES.items()) for j, t in enumerate(own)]
+    model = lang_id.train(frame(spark, rows))
+    tried = ["the other thing", "Schnee 12 THE", "日本の言葉", "zzz", "Ω ß", rows[0][1] * 50]
+    got, letters = model.entries.entropies(tried)
+    assert letters.all()
+    for i, lang in enumerate(model.langs):
+        entropy = plain_kneser_ney(SENTENCES[lang])
+        np.testing.assert_allclose(got[:, i], [entropy(t) for t in tried], rtol=1e-9)
+
+
+def test_a_model_kept_as_a_table_gives_the_same_names(spark, monkeypatch):
+    rng = random.Random(9)
+    langs = [f"l{i:02d}" for i in range(40)]
+    rows = []
+    for i in range(200):
+        own = random.Random(i % 40).sample("abcdefghijklmnopqrstuvwxyz", 6)
+        rows.append((i, " ".join("".join(rng.choices(own, k=5)) for _ in range(8)), langs[i % 40], "a"))
+    rows += [(300, None, "l00", "a"), (301, "", "l01", "a"), (302, "123", None, "a"), rows[0], rows[0]]
+    rows.append((303, rows[1][1] * 500, None, "a"))
+    docs = frame(spark, rows)
+    few, many = lang_id.train(docs), lang_id.train(docs, model_bytes=0)
+    assert few.entries is not None and many.entries is None
+    assert few.curve == many.curve
+    monkeypatch.setattr(lang_id, "SLICE_CHARS", 4_000)
+    one, other = (sorted(lang_id.identify(docs, m).collect()) for m in (few, many))
+    assert len(one) == len(rows)
+    assert [r[:3] for r in one] == [r[:3] for r in other]
+    np.testing.assert_allclose([r.score for r in one], [r.score for r in other], rtol=1e-9)
+    assert lang_id.identify(docs.limit(0), many).count() == 0
+    assert lang_id.identify(docs.filter("doc_id = 300"), many).first().lang_pred == "und"
+
+
+def test_what_is_unlike_all_learned_languages_is_rejected(spark):
+    rng = random.Random(5)
+    words = {"en": ["the", "thing", "other", "gather", "there"], "de": ["schnee", "straße", "und", "nicht", "eis"]}
+    rows = [
+        (i, " ".join(rng.choices(words[lang], k=40)), lang, "a") for i in range(300) for lang in [("en", "de")[i % 2]]
+    ]
+    docs = frame(spark, [*rows, (900, "qxzv jjkq wvvx zzqj xkcd " * 20, None, "a"), (901, None, None, "a")])
+    got = {r.doc_id: r for r in lang_id.identify(docs, lang_id.train(docs)).collect()}
+    assert got[900].rejected and got[900].lang_pred in ("en", "de") and got[901].rejected
+    assert sum(got[i].rejected for i in range(300)) <= 3
+
+
 # 4 -------------------------------------------------------------------------------------------------
 
 
