@@ -311,6 +311,12 @@ _PLAIN: dict[str, str] = {
         union all
         select 'lineitem', 'l_suppkey', l_suppkey, count(*) from lineitem
         where l_suppkey not in (select s_suppkey from supplier where s_nationkey < 20) group by 3""",
+    "c11d_orphans_by_range": """
+        select 'events' as "table", 'user_id' as "column", user_id as "value", count(*) as "rows" from events
+        where user_id not in (select s_suppkey from supplier) group by 3
+        union all
+        select 'lineitem', 'l_suppkey', l_suppkey, count(*) from lineitem
+        where l_suppkey not in (select s_suppkey from supplier where s_nationkey < 20) group by 3""",
     "d06_most_frequent": """
         select user_id, event_type
         from (select user_id, event_type,

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.plans.checks import ACCEPTED, DURATIONS, GRAINS, NOT_NULL, PARENTS, UNIQUE
@@ -62,9 +62,85 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counts.selectExpr(_stacked(cells)).filter("nulls > 0")
 
 
+Link = tuple[str, str]  # a parent table and its key column
+Domain = tuple[int, int, bool]  # lowest and highest key, and whether −1 is a key too
+
+
+def dense_domains(table: Callable[[str], DataFrame], links: Iterable[Link]) -> dict[Link, Domain]:
+    """For each parent key without gaps, its lowest and highest value and whether −1 is a key.
+
+    A key is dense if its values from zero on are a whole range, and none but −1 is below.
+    Each value is one bit of a bitmap, so the proof is exact: as many bits as the range is
+    long. A row per parent comes to the driver. Keys with gaps are left out.
+    """
+    above, below = [], []
+    for parent, key in sorted(set(links)):
+        keys = table(parent).select(
+            F.lit(parent).alias("parent"), F.lit(key).alias("key"), F.col(key).cast("bigint").alias("k")
+        )
+        above.append(keys.filter("k >= 0"))
+        below.append(keys.filter("k < 0"))
+    bits = _union(above).groupBy("parent", "key", F.bitmap_bucket_number("k").alias("bucket")).agg(
+        F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("k"))).alias("n"),
+        F.min("k").alias("low"), F.max("k").alias("high"),
+    )
+    ranges = bits.groupBy("parent", "key").agg(
+        F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")
+    )
+    others = _union(below).groupBy("parent", "key").agg(F.min("k").alias("least"), F.max("k").alias("most"))
+    found = {}
+    for r in ranges.join(others, ["parent", "key"], "left").collect():
+        if r.n != r.high - r.low + 1 or (r.least is not None and (r.least, r.most) != (-1, -1)):
+            continue
+        found[r.parent, r.key] = (r.low, r.high, r.least is not None)
+    return found
+
+
+def _within(column: str, domain: Domain) -> Column:
+    low, high, unknown = domain
+    inside = F.col(column).between(low, high)
+    return inside | (F.col(column) == -1) if unknown else inside
+
+
+def outside_domains(
+    children: Mapping[str, DataFrame], parents: Mapping[str, Mapping[str, Link]], dense: Mapping[Link, Domain]
+) -> DataFrame:
+    """The rows of :func:`orphans` for keys of dense parents, without a join.
+
+    Each child is scanned once; only keys that violate are shuffled.
+    """
+    wrong = F.lit(False)
+    for (parent, key), domain in dense.items():
+        wrong = wrong | ((F.col("parent") == f"{parent}.{key}") & ~_within("value", domain))
+    found = [
+        children[name].selectExpr(
+            f"'{name}' as table",
+            _stacked(
+                [
+                    {"column": f"'{c}'", "parent": f"'{parent}.{key}'", "value": f"cast({c} as bigint)"}
+                    for c, (parent, key) in links.items()
+                ]
+            ),
+        ).filter(wrong)
+        for name, links in parents.items()
+    ]
+    return _union(found).groupBy("table", "column", "value").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def split_links(
+    parents: Mapping[str, Mapping[str, Link]], dense: Mapping[Link, Domain]
+) -> tuple[dict[str, dict[str, Link]], dict[str, dict[str, Link]]]:
+    """The links to dense parents, and the others; tables without any are left out of a part."""
+    parts: tuple[dict, dict] = ({}, {})
+    for name, links in parents.items():
+        for column, link in links.items():
+            parts[link not in dense].setdefault(name, {})[column] = link
+    return parts
+
+
 def orphans(
     children: Mapping[str, DataFrame],
-    parents: Mapping[str, Mapping[str, tuple[str, str]]],
+    parents: Mapping[str, Mapping[str, Link]],
     table: Callable[[str], DataFrame],
 ) -> DataFrame:
     """(table, column, value, rows) of non-NULL keys missing in their parent.
@@ -105,6 +181,22 @@ def orphans(
     return missing.select("table", "column", "value", "rows")
 
 
+def linked(
+    children: Mapping[str, DataFrame],
+    parents: Mapping[str, Mapping[str, Link]],
+    table: Callable[[str], DataFrame],
+) -> DataFrame:
+    """The rows of :func:`orphans`, by range where the parent is dense, else by its join."""
+    dense = dense_domains(table, {link for links in parents.values() for link in links.values()})
+    by_range, by_join = split_links(parents, dense)
+    found = []
+    if by_range:
+        found.append(outside_domains(children, by_range, dense))
+    if by_join:
+        found.append(orphans(children, by_join, table))
+    return _union(found)
+
+
 def outside(df: DataFrame, column: str, accepted: Sequence) -> DataFrame:
     """(value, n) of non-NULL values that are not accepted."""
     wrong = df.filter(F.col(column).isNotNull() & ~F.col(column).isin(list(accepted)))
@@ -128,7 +220,8 @@ def null_violations(wh: Warehouse) -> DataFrame:
 
 
 def relationship_violations(wh: Warehouse) -> DataFrame:
-    return orphans({table: wh[table] for table in PARENTS}, PARENTS, lambda name: wh[name])
+    """Surrogate keys without gaps are compared with their range; other keys (days) are joined."""
+    return linked({table: wh[table] for table in PARENTS}, PARENTS, lambda name: wh[name])
 
 
 def accepted_violations(wh: Warehouse) -> DataFrame:
@@ -226,8 +319,35 @@ def negative_durations(wh: Warehouse, columns: Sequence[str] = DURATIONS) -> Dat
     return counts.selectExpr(_stacked(cells)).filter("rows > 0")
 
 
+def cell_counts(df: DataFrame, table: str, dense: Mapping[Link, Domain]) -> DataFrame:
+    """(check, table, column, violations) of all that a row alone decides, in one pass over a table.
+
+    NULLs where none may be, keys outside a dense parent, and how many different values are not accepted.
+    """
+    counts = {("not_null", c): F.count_if(F.col(c).isNull()) for c in NOT_NULL.get(table, [])}
+    for c, link in PARENTS.get(table, {}).items():
+        if link in dense:
+            counts["relationships", c] = F.count_if(~_within(c, dense[link]))
+    for (of, c), values in ACCEPTED.items():
+        if of == table:
+            counts["accepted_values", c] = F.count_distinct(F.when(~F.col(c).isin(list(values)), F.col(c)))
+    names = {f"n{i}": found for i, found in enumerate(counts)}
+    one = df.agg(*[counts[found].alias(name) for name, found in names.items()])
+    cells = [
+        {"check": f"'{check}'", "table": f"'{table}'", "column": f"'{c}'", "violations": name}
+        for name, (check, c) in names.items()
+    ]
+    return one.selectExpr(_stacked(cells))
+
+
 def report(wh: Warehouse) -> DataFrame:
-    """One row per check and column: how many violations it found (0 = passed)."""
+    """One row per check and column: how many violations it found (0 = passed).
+
+    What a row alone decides is counted in one pass per table; uniqueness and grain
+    need a shuffle each, and keys of parents with gaps a join on counted keys.
+    """
+    dense = dense_domains(lambda name: wh[name], {link for links in PARENTS.values() for link in links.values()})
+    by_join = split_links(PARENTS, dense)[1]
 
     def counted(df: DataFrame, check: str, rows: str | None = None) -> DataFrame:
         """Violations per table and column: reported rows, or the rows they stand for."""
@@ -250,9 +370,12 @@ def report(wh: Warehouse) -> DataFrame:
     found = _union(
         [
             counted(unique_violations(wh), "unique"),
-            counted(null_violations(wh), "not_null", "nulls"),
-            counted(relationship_violations(wh), "relationships", "rows"),
-            counted(accepted_violations(wh), "accepted_values"),
+            *[cell_counts(wh[table], table, dense) for table in NOT_NULL],
+            *(
+                [counted(orphans({t: wh[t] for t in by_join}, by_join, lambda name: wh[name]), "relationships", "rows")]
+                if by_join
+                else []
+            ),
             counted(grain_violations(wh), "grain"),
             counted(lost_rows(wh).withColumnRenamed("table_name", "table"), "rows_kept"),
             counted(

@@ -309,6 +309,13 @@ def _orphan_users(t) -> DataFrame:
     )
 
 
+def _orphans_by_range(t) -> DataFrame:
+    """Users against all suppliers, whose keys have no gaps, and lines against some, whose keys have."""
+    tables = {"all": lambda: t("supplier"), "some": lambda: t("supplier").filter(F.col("s_nationkey") < 20)}
+    links = {"events": {"user_id": ("all", "s_suppkey")}, "lineitem": {"l_suppkey": ("some", "s_suppkey")}}
+    return quality.linked({name: t(name) for name in links}, links, lambda name: tables[name]())
+
+
 def _top_event_type(t) -> DataFrame:
     return ranking.most_frequent(t("events"), ["user_id"], "event_type", "event_type")
 
@@ -440,6 +447,7 @@ QUERIES: dict[str, Query] = {
     "c04_date_roles": _on_warehouse(_date_roles),
     "c06_semi_join": _on_given(_kept_lines),
     "c11_orphans": _on_given(_orphan_users),
+    "c11d_orphans_by_range": _on_given(_orphans_by_range),
     "d06_most_frequent": _on_given(_top_event_type),
     "d07_ratios": _on_given(_flag_percentages),
     "e01_dedup": _on_given(_grain_dedup),

@@ -87,3 +87,46 @@ def test_large_parents_meet_counted_keys_not_rows(spark):
         assert rows(found) == [("c", "a", 5, 143), ("c", "a", 6, 142)]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_keys_without_gaps_are_compared_with_their_range(spark):
+    parents = {
+        "p": spark.createDataFrame([(-1,), (1,), (2,), (3,)], "id int"),
+        "gap": spark.createDataFrame([(1,), (3,)], "id bigint"),
+        "twice": spark.createDataFrame([(1,), (1,), (3,)], "id bigint"),
+        "zero": spark.createDataFrame([(0,), (1,)], "id bigint"),
+        "below": spark.createDataFrame([(-2,), (1,)], "id bigint"),
+        "none": spark.createDataFrame([], "id bigint"),
+        "far": spark.range(40_000, 140_000).select("id"),
+    }
+    dense = quality.dense_domains(parents.get, {(name, "id") for name in parents})
+    assert dense == {("p", "id"): (1, 3, True), ("zero", "id"): (0, 1, False), ("far", "id"): (40_000, 139_999, False)}
+    child = spark.createDataFrame(
+        [(1, 1, 40_000), (4, 2, 39_999), (4, 3, 140_000), (-1, None, -1), (None, 3, None), (0, 2, 70_000)],
+        "a int, b int, c bigint",
+    )
+    links = {"c": {"a": ("p", "id"), "b": ("gap", "id"), "c": ("far", "id")}}
+    found = rows(quality.linked({"c": child}, links, parents.get))
+    assert found == rows(quality.orphans({"c": child}, links, parents.get))
+    assert ("c", "a", 4, 2) in found and ("c", "b", 2, 2) in found and ("c", "c", -1, 1) in found
+    only_dense = quality.linked({"c": child}, {"c": {"a": ("p", "id")}}, parents.get)
+    assert "Join" not in only_dense._jdf.queryExecution().executedPlan().toString()
+
+
+def test_report_counts_what_a_broken_fact_holds(wh):
+    """One pass over a table finds the same cells as the check of each kind."""
+    broken = wh["fact_order_reviews"].withColumns(
+        {"review_score": F.lit(9), "customer_key": F.lit(10**6).cast("bigint"), "order_status_key": F.lit(None).cast("int")}
+    )
+    n = broken.count()
+    dense = quality.dense_domains(
+        lambda name: wh[name], {link for links in quality.PARENTS.values() for link in links.values()}
+    )
+    assert ("dim_date", "date_key") not in dense and ("dim_customers", "customer_key") in dense
+    found = {tuple(r)[:3]: r.violations for r in quality.cell_counts(broken, "fact_order_reviews", dense).collect()}
+    wrong = {k[0::2]: v for k, v in found.items() if v}
+    assert wrong == {
+        ("accepted_values", "review_score"): 1,
+        ("relationships", "customer_key"): n,
+        ("not_null", "order_status_key"): n,
+    }
