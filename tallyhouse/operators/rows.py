@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tallyhouse import fixed_values as fixed
+from tallyhouse.sources.tables import TableFolder
+
+# Above one copy in so many rows, all rows are ordered by key at once.
+FEW = 10
 
 
 def dedup(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -24,6 +29,41 @@ def dedup(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return numbered.filter(F.col("_copy") == 1).drop("_copy")
 
 
+def hash_of(keys: Sequence[str]):
+    return F.xxhash64(*keys).alias("_key")
+
+
+def hashes_again(df: DataFrame, keys: Sequence[str], folder: TableFolder) -> tuple[DataFrame, int, int]:
+    """The 64-bit hashes of keys that several rows have, how many rows those are, and all rows.
+
+    A hash and its count are all that is shuffled. The hashes (``_key``) are written, so
+    Spark knows their size. Equal keys always share a hash; a few other keys may share one.
+    """
+    seen, often = Observation(), F.col("_n") > 1
+    counted = df.groupBy(hash_of(keys)).agg(F.count(F.lit(1)).alias("_n")).observe(
+        seen, F.sum("_n").alias("rows"), F.sum(F.when(often, F.col("_n"))).alias("again")
+    )
+    again = folder.write(f"again-{uuid.uuid4().hex}", counted.filter(often).select("_key"))
+    return again, seen.get["again"] or 0, seen.get["rows"] or 0
+
+
+def dedup_few(df: DataFrame, keys: Sequence[str], folder: TableFolder) -> DataFrame:
+    """The rows of ``dedup``, without a shuffle of those whose key stands alone.
+
+    Only rows whose hash occurs again are ordered and thinned, by the keys themselves.
+    Where such rows are many, all rows go through ``dedup``.
+    """
+    again, copies, rows = hashes_again(df, keys, folder)
+    if not copies:
+        return df
+    if copies * FEW > rows:
+        return dedup(df, keys)
+    marked = df.withColumn("_key", hash_of(keys))
+    alone = marked.join(again, "_key", "left_anti")
+    others = marked.join(again, "_key", "left_semi").drop("_key")
+    return alone.drop("_key").unionByName(dedup(others, keys))
+
+
 def with_unknown(df: DataFrame, member: Mapping) -> DataFrame:
     """Append the Unknown member; columns not named in ``member`` are NULL."""
     unused = set(member) - set(df.columns)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tallyhouse import fixed_values as fixed
 from tallyhouse import schemas
 from tallyhouse.functions import scalars as S
-from tallyhouse.operators.rows import dedup, resolve_fk, unknown_if_missing
+from tallyhouse.operators.rows import dedup_few, resolve_fk, unknown_if_missing
+from tallyhouse.sources.tables import TableFolder
 
 UNKNOWN = fixed.UNKNOWN_KEY
 
@@ -27,6 +28,7 @@ def order_header(
     statuses: DataFrame,
     first: date,
     last: date,
+    work: TableFolder,
 ) -> DataFrame:
     """One row per order with everything the facts take from the order.
 
@@ -34,7 +36,7 @@ def order_header(
     once per order, not once per item, payment and review, keeps the large
     customer join at the smallest grain.
     """
-    header = dedup(orders.drop("ingestion_timestamp"), ["order_id"])
+    header = dedup_few(orders.drop("ingestion_timestamp"), ["order_id"], work)
     header = resolve_fk(
         header,
         customers,
@@ -108,16 +110,18 @@ def fact_order_items(
     products: DataFrame,
     sellers: DataFrame,
     geography: DataFrame,
+    work: TableFolder,
 ) -> DataFrame:
     """One row per order line.
 
-    Copies are removed before the joins: the shuffle is by the whole grain, so
-    an order with very many lines is spread, and the later join by order is
-    left to AQE, which splits a skewed side.
+    Copies are removed before the joins, by the whole grain, so an order with very many
+    lines is spread. Lines are shuffled by product, where products are many, and last by
+    order, which is also how they are written; AQE splits an order with very many lines.
     """
-    lines = dedup(
+    lines = dedup_few(
         items.select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"),
         ["order_id", "order_item_id"],
+        work,
     )
     lines = resolve_fk(
         lines, products, on={"product_id": "product_id"}, take={"product_key": UNKNOWN}
@@ -177,9 +181,11 @@ def fact_order_items(
     )
 
 
-def fact_order_payments(payments: DataFrame, header: DataFrame, methods: DataFrame) -> DataFrame:
+def fact_order_payments(
+    payments: DataFrame, header: DataFrame, methods: DataFrame, work: TableFolder
+) -> DataFrame:
     """One row per payment transaction of an order."""
-    paid = dedup(payments.drop("ingestion_timestamp"), ["order_id", "payment_sequential"])
+    paid = dedup_few(payments.drop("ingestion_timestamp"), ["order_id", "payment_sequential"], work)
     paid = resolve_fk(
         paid, methods, on={"payment_type": "payment_type"}, take={"payment_type_key": UNKNOWN}
     )
@@ -208,9 +214,11 @@ def fact_order_payments(payments: DataFrame, header: DataFrame, methods: DataFra
     )
 
 
-def fact_order_reviews(reviews: DataFrame, header: DataFrame, first: date, last: date) -> DataFrame:
+def fact_order_reviews(
+    reviews: DataFrame, header: DataFrame, first: date, last: date, work: TableFolder
+) -> DataFrame:
     """One row per review and order; neither column is unique alone."""
-    given = dedup(
+    given = dedup_few(
         reviews.select(
             "review_id",
             "order_id",
@@ -220,6 +228,7 @@ def fact_order_reviews(reviews: DataFrame, header: DataFrame, first: date, last:
             "review_answer_timestamp",
         ),
         ["review_id", "order_id"],
+        work,
     )
     given = _with_header(
         given,

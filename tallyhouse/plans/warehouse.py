@@ -125,6 +125,7 @@ class Warehouse:
                 self._drafted("dim_order_status"),
                 self.first_day,
                 self.last_day,
+                kept,
             )
             kept.write("order_header", header)
         return kept.read("order_header")
@@ -152,12 +153,13 @@ class Warehouse:
                 self._drafted("dim_products"),
                 self._drafted("dim_sellers"),
                 self._drafted("dim_geography"),
+                slices,
             ),
             "fact_order_payments": lambda: facts.fact_order_payments(
-                stage("order_payments"), self._header(), self._drafted("dim_payment_type")
+                stage("order_payments"), self._header(), self._drafted("dim_payment_type"), slices
             ),
             "fact_order_reviews": lambda: facts.fact_order_reviews(
-                stage("order_reviews"), self._header(), self.first_day, self.last_day
+                stage("order_reviews"), self._header(), self.first_day, self.last_day, slices
             ),
         }
         return plans[name]()
@@ -165,14 +167,15 @@ class Warehouse:
     def _write(self, draft: TableFolder, name: str) -> None:
         rows = self.plan(name)
         if name in schemas.FACTS:
-            # By day, then order, then line: a date range reads few files, and
-            # the lines of an order meet in one task, where they are summed
-            # before any shuffle. The whole grain splits even a hot order.
+            # As the join with the order header leaves them: the lines of an order lie
+            # together, and are summed before any shuffle. Cutting them into ranges of
+            # days would shuffle all rows of the widest tables once more. Files are
+            # ordered by day, so a date range reads its years and few pages of each.
             draft.write(
                 name,
                 rows,
                 partition_by=["purchase_year"],
-                cluster_by=["purchase_date_key", "order_id", *schemas.LINE_OF_ORDER[name]],
+                sort_by=["purchase_date_key", "order_id"],
                 measures=checks.measures(name),
             )
         else:
