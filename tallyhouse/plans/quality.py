@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.operators.rows import hash_of, hashes_again
 from tallyhouse.plans.checks import ACCEPTED, DURATIONS, GRAINS, NOT_NULL, PARENTS, UNIQUE
 from tallyhouse.plans.warehouse import Warehouse
 
@@ -236,10 +237,18 @@ def accepted_violations(wh: Warehouse) -> DataFrame:
 
 
 def grain_violations(wh: Warehouse) -> DataFrame:
-    """Fact rows that share their grain, with the grain as text."""
+    """Fact rows that share their grain, with the grain as text.
+
+    A hash per row is shuffled; only rows whose hash occurs again are counted by the grain.
+    """
+
+    def suspects(table: str, keys: Sequence[str]) -> DataFrame:
+        again, _, _ = hashes_again(wh[table], keys, wh.work)
+        return wh[table].withColumn("_key", hash_of(keys)).join(again, "_key", "left_semi")
+
     return _union(
         [
-            duplicates(wh[table], keys).select(
+            duplicates(suspects(table, keys), keys).select(
                 F.lit(table).alias("table"),
                 F.concat_ws(" / ", *[F.col(k).cast("string") for k in keys]).alias("grain"),
                 "n",
