@@ -17,6 +17,7 @@ and all that is no letter is one code; that is the alphabet of the model.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -27,15 +28,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import release, stored
+from tallyhouse.operators.ranking import global_rank
+from tallyhouse.session import shared_folder
+from tallyhouse.sources.tables import TableFolder
 
 ORDER = 4
 DISCOUNT = 0.75
 FLOOR = 1.0 / 65536
-# Distinct texts by which scores are calibrated, chosen by hash: about so many, and at
-# most a tenth. The model that scores them has not counted them; the final one has.
-CALIBRATION_ROWS = 2_000
-# Held-back texts that score as high as an accepted one must be right this often.
-PRECISION = 0.995
+# Held-back texts that score as high as an accepted one must be right this often, per mille.
+PRECISION = 995
+# How sharp a score may be; likelihoods are summed as whole numbers of this fraction.
+SHARPNESS = [2.0**i for i in range(-1, 7)]
+UNIT = 2.0**-24
 # A model is broadcast up to this size, at so many bytes an entry in its arrays.
 MODEL_BYTES = 256 << 20
 ENTRY_BYTES = 32
@@ -105,13 +109,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(counts[at : at + 100_000]),
                     pa.array([kind[1]] * len(own), pa.bool_()),
                 ],
-                names=["lang", "run", "n", "back"],
+                names=["lang", "run", "n", "half"],
             )
 
     for batch in batches:
         by_kind: dict[tuple[str, bool], list[str]] = {}
-        for lang, text, back in zip(*(batch.column(c).to_pylist() for c in ("lang", "text", "back"))):
-            by_kind.setdefault((lang, back), []).append(text)
+        for lang, text, half in zip(*(batch.column(c).to_pylist() for c in ("lang", "text", "half"))):
+            by_kind.setdefault((lang, half), []).append(text)
         for kind, own in by_kind.items():
             parts = held.setdefault(kind, [])
             for chunk in _chunks(own):
@@ -197,28 +201,33 @@ class Curve:
     least: float = 0.0
     ceiling: float = math.inf
 
-    def fit(self, entropies: np.ndarray, right: np.ndarray) -> None:
-        """Sharpness of the highest likelihood, then bounds that right texts keep.
 
-        ``least`` is the lowest score at and above which a share of PRECISION is right,
-        ``ceiling`` a little over the highest cross-entropy of a text named rightly.
-        """
-        row = np.arange(len(right))
-        grid = [2.0**i for i in range(-1, 7)]
-        self.sharpness = max(
-            grid, key=lambda s: np.log(np.maximum(_posterior(entropies, s)[row, right], 1e-4)).sum()
-        )
-        p = _posterior(entropies, self.sharpness)
-        named, score = p.argmax(1) == right, p.max(1)
-        order = np.argsort(-score, kind="stable")
-        share = np.cumsum(named[order]) / (row + 1)
-        good = np.flatnonzero(share >= PRECISION)
-        if len(good) and good[-1] < len(row) - 1:
-            self.least = float(score[order[good[-1]]])
-        elif not len(good):
-            self.least = 1.0
-        if named.any():
-            self.ceiling = 1.1 * float(entropies[row, right][named].max())
+def _curve(judged: DataFrame) -> Curve | None:
+    """Sharpness of the highest likelihood, then bounds that right texts keep, from all ``judged`` rows.
+
+    ``least`` is the lowest score at and above which PRECISION of a thousand are right,
+    ``ceiling`` a little over the highest cross-entropy of a text named rightly. Scores
+    are ranked in slices; a few numbers come to the driver.
+    """
+    sums = judged.agg(
+        *[F.sum(F.col("logs")[i]) for i in range(len(SHARPNESS))],
+        F.max(F.when(F.col("named"), F.col("own"))), F.count(F.lit(1)),
+    ).first()
+    if not sums[-1]:
+        return None
+    best = max(range(len(SHARPNESS)), key=lambda i: sums[i])
+    over = F.sum(F.when(F.col("named"), 1000 - PRECISION).otherwise(-PRECISION)).alias("over")
+    scores = judged.groupBy(F.col("scores")[best].alias("score")).agg(over)
+    folder = TableFolder(judged.sparkSession, f"{shared_folder(judged.sparkSession)}/language-{uuid.uuid4().hex}")
+    ranked = global_rank(scores, [F.desc("score")], folder, "scores", value="over")
+    good = F.min(F.when(F.col("running_total") >= 0, F.col("score")))
+    least, lowest = ranked.agg(good, F.min("score")).first()
+    folder.remove()
+    return Curve(
+        SHARPNESS[best],
+        1.0 if least is None else 0.0 if least == lowest else least,
+        math.inf if sums[-2] is None else 1.1 * sums[-2],
+    )
 
 
 @dataclass
@@ -273,17 +282,15 @@ def train(docs: DataFrame, discount: float = DISCOUNT, model_bytes: int = MODEL_
     """A model of every language in ``lang``, from all rows with text and lang; None without any.
 
     All rows are counted, however long. Repeated rows count as often as they stand there.
-    The curve is learned from held-back texts by a second model that leaves these out.
+    The curve is learned from all of them too: they are halved by hash, equal texts
+    together, and each half is scored by a model that has counted the other one only.
     """
-    key = F.xxhash64(F.lit(3), "text")
-    rows = docs.filter("text is not null and lang is not null").select("lang", "text")
-    texts = rows.agg(F.approx_count_distinct(key)).first()[0]
-    share = min(0.1, CALIBRATION_ROWS / max(1, texts))
-    rows = rows.withColumn("back", F.pmod(key, F.lit(1 << 40)) < int(share * (1 << 40)))
-    counted = rows.mapInArrow(_count, "lang string, run long, n long, back boolean")
+    half = F.xxhash64(F.lit(3), "text") % 2 == 0
+    rows = docs.filter("text is not null and lang is not null").select("lang", "text", half.alias("half"))
+    counted = rows.mapInArrow(_count, "lang string, run long, n long, half boolean")
     top = stored(
         counted.groupBy("lang", "run").agg(
-            F.sum("n").alias("n"), F.sum(F.when(~F.col("back"), F.col("n")).otherwise(0)).alias("rest")
+            F.sum("n").alias("n"), F.sum(F.when(F.col("half"), F.col("n")).otherwise(0)).alias("n_half")
         ),
         "runs",
     )
@@ -292,31 +299,39 @@ def train(docs: DataFrame, discount: float = DISCOUNT, model_bytes: int = MODEL_
         return None
     number = (F.array_position(F.lit(langs), F.col("lang")) - 1).cast("int").alias("lang")
     model = _model(top.select(number, "run", "n"), langs, discount, model_bytes)
-    without = _model(
-        top.filter("rest > 0").select(number, "run", F.col("rest").alias("n")), langs, discount, model_bytes
-    )
 
-    def measure(texts, own, entries):
+    def judge(texts, own, entries):
         e, ok = entries.entropies(texts)
+        right = np.array([langs.index(x) for x in own.column("lang").to_pylist()], dtype=np.int64)[ok]
+        e, row = e[ok], np.arange(len(right))
+        shares = [_posterior(e, s) for s in SHARPNESS]
+        logs = np.stack([np.log(np.maximum(p[row, right], 1e-4)) for p in shares], axis=1)
+        scores = np.stack([p.max(1) for p in shares], axis=1)
         return pa.RecordBatch.from_arrays(
             [
-                own.column("lang"), own.column("key"),
-                pa.array([list(x) if k else None for x, k in zip(e, ok)], pa.list_(pa.float64())),
+                _lists(np.rint(logs / UNIT).astype(np.int64)), _lists(scores),
+                pa.array(e.argmin(1) == right), pa.array(e[row, right]),
             ],
-            names=["lang", "key", "entropies"],
+            names=["logs", "scores", "named", "own"],
         )
 
-    held = rows.filter("back").select("lang", "text", key.alias("key")).dropDuplicates(["lang", "key"])
-    seen = (
-        _scored(held, without, measure, "lang string, key long, entropies array<double>")
-        .filter("entropies is not null").orderBy("lang", "key").toPandas()
-    )
-    if len(seen):
-        model.curve.fit(np.stack(seen["entropies"].to_numpy()), np.array([langs.index(x) for x in seen["lang"]]))
-    release(top, without.rows)
+    parts, without = [], []
+    for held, n in (("half", F.col("n") - F.col("n_half")), ("not half", F.col("n_half"))):
+        other = _model(top.select(number, "run", n.alias("n")).filter("n > 0"), langs, discount, model_bytes)
+        schema = "logs array<long>, scores array<double>, named boolean, own double"
+        parts.append(stored(_scored(rows.filter(held).select("lang", "text"), other, judge, schema), "judged"))
+        without.append(other.rows)
+    model.curve = _curve(parts[0].union(parts[1])) or model.curve
+    release(top, *without, *parts)
     return model
 
 
+def _lists(values: np.ndarray) -> pa.Array:
+    """Each row of a table of numbers as a list."""
+    ends = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.ravel()))
+
+
 def _scored(rows: DataFrame, model: Model, finish: Callable, schema: str) -> DataFrame:
     """``finish(texts, batch, entries)`` over all rows, each with the entries of its runs."""
     width = len(model.langs)
